@@ -6,13 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from palimpsest.llm import chat_format, simhash
+from palimpsest.llm import chat_format, host_rules, mixing, simhash, token_files, toxicity, warc_zip
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": chat_format.op1_chat_format,
     "op2_simhash": simhash.op2_simhash,
+    "op3_mixing": mixing.op3_mixing,
+    "op4_token_files": token_files.op4_token_files,
+    "op5_warc_zip": warc_zip.op5_warc_zip,
+    "op8_host_rules": host_rules.op8_host_rules,
+    "op9_toxicity": toxicity.op9_toxicity,
 }
 
 SQL: dict[str, str] = {
     "op1_chat_format": chat_format.OP1_SQL,
+    "op5_warc_zip": warc_zip.OP5_SQL,
+    "op8_host_rules": host_rules.OP8_SQL,
 }
