@@ -1,7 +1,7 @@
 """Toxicity by gradient-boosted trees over dense features, with isotonic calibration.
 
-Features of a whole text: densities of lexicon words (a seed list and words that the training labels show to be
-toxic), how near they stand to a second-person word, capitals, punctuation, and words that symbols or
+Features of a whole text: densities of lexicon words (a seed list, and words and stems that the training labels show to be
+toxic: a stem is what five to seven letters begin, and counts for a text that has it twice), how near they stand to a second-person word, capitals, punctuation, and words that symbols or
 digits obfuscate. Trees are fitted on at most ``sample`` labelled rows; the calibration on margins of rows left
 out of the fit, fold by fold.
 
@@ -16,6 +16,7 @@ labels of a document the largest counts, null labels are skipped; without labels
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -37,7 +38,7 @@ SECOND = frozenset("you your yours yourself youre u ur tu tú te ti usted ustede
 _EDGE = re.compile(r"^\W+|\W+$")
 _MASKED = re.compile(r"\w[*@$#!%&]+\w|[a-zA-Z]\d+[a-zA-Z]")
 _LEET = str.maketrans("013457@$!", "oieastasi")
-FEATURES = ("seed_density", "seed_hits", "learnt_density", "learnt_weight", "learnt_most", "learnt_kinds", "hit_share", "near_second", "second_density", "capitals", "shouted", "punctuation", "exclamations", "obfuscated", "hidden_hits", "words")
+FEATURES = ("seed_density", "seed_hits", "learnt_density", "learnt_weight", "learnt_most", "learnt_kinds", "hit_share", "near_second", "second_density", "capitals", "shouted", "punctuation", "exclamations", "obfuscated", "hidden_hits", "words", "stem_density", "stem_hits", "stem_most", "stem_weight")
 
 
 def bare(word: str) -> str:
@@ -45,12 +46,33 @@ def bare(word: str) -> str:
     return _EDGE.sub("", word).lower()
 
 
-def features(text: str, learnt: dict[str, float], memo: dict[str, tuple[str, bool]]) -> list[float]:
+def stems(word: str) -> list[str]:
+    """The word's stems, marked so that they differ from words."""
+    return [f"{word[:k]}*" for k in (7, 6, 5) if len(word) > k]
+
+
+def units(text: str, memo: dict[str, str]) -> list[str]:
+    """Words of a text, each once, and the stems that it has twice or more."""
+    counts: Counter[str] = Counter()
+    for w in text.split():
+        b = memo.get(w)
+        if b is None:
+            b = memo[w] = bare(w)
+        counts[b] += 1
+    twice: Counter[str] = Counter()
+    for b, n in counts.items():
+        for s in stems(b):
+            twice[s] += n
+    return [b for b in counts if b] + [s for s, n in twice.items() if n > 1]
+
+
+def features(text: str, learnt: dict[str, float], memo: dict[str, tuple[str, int, str]]) -> list[float]:
     """The features of one text; ``memo`` remembers bare words between texts."""
     words = text.split()
     n = max(1, len(words))
     hits, second, masked, hidden, weight, most = [], [], 0, 0, 0.0, 0.0
     seeds, seen = 0, set()
+    stemmed: Counter[str] = Counter()
     for i, w in enumerate(words):
         got = memo.get(w)
         if got is None:
@@ -62,11 +84,15 @@ def features(text: str, learnt: dict[str, float], memo: dict[str, tuple[str, boo
                 if plain in SEEDS or learnt.get(plain, 0.0) > 1.0:
                     b, kind = plain, 4
             kind |= (b in SEEDS) + 2 * (b in learnt) + 8 * (b in SECOND) + 16 * odd
-            got = memo[w] = (b, kind)
+            stem = next((s for s in stems(b) if s in learnt), "")
+            kind |= 32 * bool(stem)
             if len(memo) > 400_000:
                 memo.clear()
-        b, kind = got
+            got = memo[w] = (b, kind, stem)
+        b, kind, stem = got
         if kind:
+            if kind & 32:
+                stemmed[stem] += 1
             if kind & 3:
                 hits.append(i)
                 seen.add(b)
@@ -91,7 +117,9 @@ def features(text: str, learnt: dict[str, float], memo: dict[str, tuple[str, boo
     marks = len(raw) - len(raw.translate(None, _MARKS))
     shouted = sum(map(str.isupper, words))
     learnt_hits = sum(1 for b in seen if b in learnt)
-    return [seeds / n, float(seeds), len(hits) / n, weight / n, most, float(learnt_hits), min(1.0, len(seen) / 5), near, len(second) / n, upper / letters, shouted / n, marks / chars, raw.count(b"!") / chars, masked / n, hidden / n, float(np.log1p(len(words)))]
+    stem_hits = sum(stemmed.values())
+    stem_weight = max((learnt[x] for x, k in stemmed.items() if k > 1), default=0.0)
+    return [seeds / n, float(seeds), len(hits) / n, weight / n, most, float(learnt_hits), min(1.0, len(seen) / 5), near, len(second) / n, upper / letters, shouted / n, marks / chars, raw.count(b"!") / chars, masked / n, hidden / n, float(np.log1p(len(words))), stem_hits / n, float(stem_hits), float(max(stemmed.values(), default=0)), stem_weight]
 
 
 _UPPER = bytes(range(65, 91))
@@ -126,16 +154,23 @@ def _with_features(rows: DataFrame, learnt: dict[str, float], keep: list[str]) -
 
 
 def learnt_words(labelled: DataFrame, limit: int = LEXICON) -> dict[str, float]:
-    """Log-odds of toxic to other documents for words that mark toxic ones; ``labelled``: text, toxic."""
+    """Log-odds of toxic to other documents for words and stems that mark toxic ones; ``labelled``: text, toxic."""
     sizes = labelled.agg(F.count("*").alias("n"), F.sum("toxic").alias("t")).first()
     n, t = sizes["n"], sizes["t"] or 0
-    # Bare words of a text, once each; symbols at their ends go.
-    words = F.array_distinct(F.transform(F.split(F.lower(F.coalesce("text", F.lit(""))), r"\s+"), lambda w: F.regexp_replace(w, r"^[^\p{L}\p{N}_]+|[^\p{L}\p{N}_]+$", "")))
-    counts = labelled.select("toxic", F.explode(words).alias("word")).where("word <> ''").groupBy("word").agg(F.count("*").alias("n"), F.sum("toxic").alias("t"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memo: dict = {}
+        for b in batches:
+            found = [units(x or "", memo) for x in b.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("toxic"), pa.array(found, pa.list_(pa.string()))], ["toxic", "units"])
+
+    words = labelled.select("text", "toxic").mapInArrow(run, "toxic int, units array<string>").select("toxic", F.explode("units").alias("word"))
+    counts = words.groupBy("word").agg(F.count("*").alias("n"), F.sum("toxic").alias("t"))
     odds = F.log(((F.col("t") + 0.5) / F.lit(t + 1.0)) / ((F.col("n") - F.col("t") + 0.5) / F.lit(n - t + 1.0)))
-    # A word must be seen in several toxic documents, and beyond what its count can give by chance.
-    sure = F.col("t") - F.col("n") * F.lit(t / max(n, 1)) - 4 * F.sqrt(F.col("n") * F.lit(t / max(n, 1)))
-    found = counts.where(F.col("t") >= 5).select("word", odds.alias("odds"), sure.alias("sure")).where("odds > 1.5 and sure > 0")
+    # A unit must be seen in several toxic documents, and beyond what its count can give by chance.
+    by_chance = F.col("n") * F.lit(t / max(n, 1))
+    sure = F.col("t") - by_chance - 3.5 * F.sqrt(by_chance)
+    found = counts.where(F.col("t") >= 4).select("word", odds.alias("odds"), sure.alias("sure")).where("odds > 1.5 and sure > 0")
     return {r["word"]: float(r["odds"]) for r in found.orderBy(F.desc("sure"), "word").limit(limit).collect()}
 
 
