@@ -1,9 +1,9 @@
 """WARC records in ZIP packages, read by ranges without extraction.
 
-A package holds ``archive/data.warc`` and ``indexes/index.cdxj`` as stored (uncompressed) members, so a
-record's place in the package is the member's place plus the index's offset. ``ZipDirectory`` finds members
+A package holds ``archive/data.warc.gz`` and ``indexes/index.cdxj`` as stored members, so a record's place in the package
+is the member's place plus the index's offset; each record is a gzip member of its own, as is usual for WARC. ``ZipDirectory`` finds members
 from the end of the file: end record, ZIP64 locator and end record, then the central directory with ZIP64 extra fields.
-Only directory, index and the asked records are read. Records that are gzip members of their own are unpacked.
+Only directory, index and the asked records are read. Records that are not packed are read too.
 
 Of the records with equal payloads of at least ``least`` bytes, the one with the smallest page_id is a response,
 the others are revisits that refer to it.
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from palimpsest.llm.common import new_dir, own_columns, table, utf8, written
 
-DATA, INDEX = "archive/data.warc", "indexes/index.cdxj"
+DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 #: Payload bytes after which a task begins the next package.
 PACKAGE = 256 << 20
 PAGE = "urn:x-page:"
@@ -86,6 +86,7 @@ class PackageWriter:
         self.index, self.at = io.BytesIO(), 0
 
     def add(self, key: str, record: bytes) -> None:
+        record = gzip.compress(record, 6, mtime=0)
         self.member.write(record)
         self.index.write(f"{key} {json.dumps({'offset': self.at, 'length': len(record)})}\n".encode())
         self.at += len(record)
