@@ -5,7 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from palimpsest.llm.common import written
+from palimpsest.llm.common import delete_dir, new_dir
+
+
+def _stored(links: DataFrame, path: str) -> DataFrame:
+    links.write.parquet(path)
+    return links.sparkSession.read.schema(links.schema).parquet(path)
 
 
 def _mark(df: DataFrame) -> tuple:
@@ -18,9 +23,11 @@ def components(links: DataFrame) -> DataFrame:
 
     Large and small stars alternate until the set of links stands still. Each round aggregates
     a minimum per node and joins it back, so a node with many links is never gathered in one
-    row. Loops and repeated links may be there; an empty table gives no rows.
+    row, and is written to the shared folder, from which the round before then goes. Loops and repeated links may be there; an empty table gives no rows.
     """
-    edges = written(links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links")
+    spark = links.sparkSession
+    path = new_dir(spark, "links")
+    edges = _stored(links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), path)
     before = _mark(edges)
     while before[0]:
         # Large star: each larger neighbour goes to the smallest of the neighbourhood.
@@ -32,7 +39,9 @@ def components(links: DataFrame) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u")
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
-        edges = written(small.where("u <> v").distinct(), "links")
+        last, path = path, new_dir(spark, "links")
+        edges = _stored(small.where("u <> v").distinct(), path)
+        delete_dir(spark, last)
         after = _mark(edges)
         if after == before:
             break
