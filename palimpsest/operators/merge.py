@@ -10,7 +10,7 @@ from pyspark.sql.types import StructType
 
 from palimpsest.functions.keys import GENERATED, ID_TS, with_generated
 from palimpsest.functions.naming import quoted
-from palimpsest.operators.versions import arrival, current_of, deduplicated, version_history
+from palimpsest.operators.versions import current_of, version_history
 from palimpsest.plans.schema import SYSTEM, ColumnSpec, struct_of
 from palimpsest.sources.store import Manifest, VersionedStore
 
@@ -26,10 +26,6 @@ class MissingColumns(ValueError):
         super().__init__(f"{table} lacks columns of the batch: {', '.join(self.columns)}")
 
 
-class NullKeys(ValueError):
-    """A required column would be null."""
-
-
 def plan_merge(incoming: DataFrame, existing: DataFrame, seq: str | None = None) -> DataFrame:
     """The rows to upsert: each incoming version, and each current version that one of them displaces.
 
@@ -115,5 +111,3 @@ def merge_into(store: VersionedStore, table: str, incoming: DataFrame, seq: str
 def empty_table_schema(app: Iterable[ColumnSpec] = ()) -> StructType:
     return struct_of([*SYSTEM, *app])
 
-
-__all__ = ["MissingColumns", "NullKeys", "arrival", "check_columns", "deduplicated", "demoted", "empty_table_schema", "fold", "merge_into", "null_counts", "plan_merge", "with_null_guard"]

@@ -162,32 +162,32 @@ def q11(spark: SparkSession, d: str) -> DataFrame:
     return merge.demoted(rows, parts[3])
 
 
-@query("q12_current_lookup", f"SELECT * FROM ({HISTORY}) WHERE __status & 1 = 1 AND _id IN (SELECT CAST(user_id AS VARCHAR) FROM events WHERE event_id % 97 = 0)")
+@query("q12_current_lookup", f"SELECT * FROM ({HISTORY}) WHERE __status & 1 = 1 AND _id IN (SELECT CAST(user_id AS VARCHAR) FROM events WHERE event_type = 'purchase' AND value > 120)")
 def q12(spark: SparkSession, d: str) -> DataFrame:
     log = event_log(spark, d)
-    return versions.current_of(versions.version_history(log), log.where(F.col("_ts") % 97 == 0)).select(*log.columns, *keys.GENERATED)
+    return versions.current_of(versions.version_history(log), log.where("event_type = 'purchase' and value > 120")).select(*log.columns, *keys.GENERATED)
 
 
 @query(
     "q13_upsert",
-    f"""WITH h AS ({HISTORY}), u AS (SELECT * REPLACE (value + 1 AS value) FROM h WHERE _ts % 5 = 0)
-SELECT * FROM h WHERE _ts % 10 < 8 AND __id_ts NOT IN (SELECT __id_ts FROM u) UNION ALL SELECT * FROM u""",
+    f"""WITH h AS ({HISTORY}), u AS (SELECT * REPLACE (value + 1 AS value) FROM h WHERE event_type IN ('purchase', 'signup'))
+SELECT * FROM h WHERE event_type <> 'signup' AND __id_ts NOT IN (SELECT __id_ts FROM u) UNION ALL SELECT * FROM u""",
 )
 def q13(spark: SparkSession, d: str) -> DataFrame:
     h = versions.version_history(event_log(spark, d))
-    return versions.upserted(h.where(F.col("_ts") % 10 < 8), h.where(F.col("_ts") % 5 == 0).withColumn("value", F.col("value") + 1))
+    return versions.upserted(h.where("event_type <> 'signup'"), h.where("event_type in ('purchase', 'signup')").withColumn("value", F.col("value") + 1))
 
 
 @query(
     "q14_admission_counts",
     """SELECT _table, count(*) AS rows_seen, CAST(count_if(_table IS NOT NULL AND _id IS NOT NULL AND _ts IS NOT NULL) AS BIGINT) AS rows_accepted FROM (
-  SELECT CASE WHEN event_id % 11 > 0 THEN event_type END AS _table, CASE WHEN event_id % 7 > 0 THEN user_id END AS _id, CASE WHEN event_id % 13 > 0 THEN event_id END AS _ts FROM events)
+  SELECT nullif(event_type, 'view') AS _table, CASE WHEN value > 1 THEN user_id END AS _id, CASE WHEN value < 200 THEN event_id END AS _ts FROM events)
 GROUP BY _table""",
 )
 def q14(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "events")
-    k = F.col("event_id")
-    return admission_counts(e.select(F.when(k % 11 > 0, F.col("event_type")).alias("_table"), F.when(k % 7 > 0, F.col("user_id")).alias("_id"), F.when(k % 13 > 0, k).alias("_ts")))
+    value = F.col("value")
+    return admission_counts(e.select(F.nullif("event_type", F.lit("view")).alias("_table"), F.when(value > 1, F.col("user_id")).alias("_id"), F.when(value < 200, F.col("event_id")).alias("_ts")))
 
 
 def _multi(spark: SparkSession, d: str) -> DataFrame:
@@ -324,9 +324,9 @@ def q23(spark: SparkSession, d: str) -> DataFrame:
     return repair.quoted_counts(_quoted(spark, d), ["v"], 1000)
 
 
-@query("q24_null_guard_counts", "SELECT CAST(count_if(event_id % 7 = 0) AS BIGINT) AS _id, CAST(0 AS BIGINT) AS _ts FROM events")
+@query("q24_null_guard_counts", "SELECT CAST(count_if(event_type = 'error') AS BIGINT) AS _id, CAST(0 AS BIGINT) AS _ts FROM events")
 def q24(spark: SparkSession, d: str) -> DataFrame:
-    rows = event_log(spark, d).withColumn("_id", F.when(F.col("_ts") % 7 > 0, F.col("_id")))
+    rows = event_log(spark, d).withColumn("_id", F.when(~F.col("_deleted"), F.col("_id")))
     return merge.null_counts(rows, StructType([StructField("_id", StringType(), False), StructField("_ts", LongType(), False), StructField("value", LongType(), True)]))
 
 
