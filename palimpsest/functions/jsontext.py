@@ -28,6 +28,24 @@ def repaired(text: Column) -> Column:
     return F.when(is_quoted(text), unquoted(text)).otherwise(text)
 
 
+def is_json(text: Column) -> Column:
+    """Whether the whole text is one JSON value; null counts as no.
+
+    The parser lets text behind a value pass, so the value is parsed inside an array and inside an object: only a
+    whole value stands both tests.
+    """
+    listed = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    named = F.try_parse_json(F.concat(F.lit('{"a":'), text, F.lit("}")))
+    one = F.schema_of_variant(listed).startswith("ARRAY") & F.try_variant_get(listed, "$[0]", "variant").isNotNull() & F.try_variant_get(listed, "$[1]", "variant").isNull()
+    return F.coalesce(one & named.isNotNull() & ~text.rlike(r"^\s*\z"), F.lit(False))
+
+
+def json_or_quoted(text: Column) -> Column:
+    """Text for a JSON column: a JSON value stays, other text becomes a JSON string."""
+    listed = F.to_json(F.array(text))
+    return F.when(text.isNull() | is_json(text), text).otherwise(listed.substr(F.lit(2), F.char_length(listed) - 2))
+
+
 def double_text(x: Column) -> Column:
     """The shortest text of a double as JSON and Python write it: 10000000000.0, 1e+16, 1e-05."""
     size = F.abs(x)

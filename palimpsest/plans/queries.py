@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import urllib.parse
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,13 +11,16 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from palimpsest.functions import keys
 from palimpsest.functions.coerce import coerced
+from palimpsest.functions.jsontext import json_or_quoted
 from palimpsest.functions.naming import physical_name_column
 from palimpsest.functions.normalize import normalized
 from palimpsest.operators import jobs, merge, repair, versions
 from palimpsest.plans.schema import ColumnSpec, infer_kind, signature, struct_of, table_specs
-from palimpsest.sources.changelog import admission_counts
+from palimpsest.sources.changelog import ChangeLog, admission_counts
+from palimpsest.sources.state import CursorState, StateStore
 from palimpsest.sources.store import VersionedStore
 from palimpsest.sources.workdir import shared_dir
+from palimpsest.streaming.ingest import Ingest, SchemaCache, Settings, sync_once
 from palimpsest.streaming.maintenance import in_window_column
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -456,3 +460,30 @@ def q37(spark: SparkSession, d: str) -> DataFrame:
 def q38(spark: SparkSession, d: str) -> DataFrame:
     c = table(spark, d, "conversations")
     return versions.latest(c.select(F.col("conv_id").cast("string").alias("_id"), F.col("turn").alias("_ts"), F.lit(None).cast("boolean").alias("_deleted"), "role"))
+
+
+@query("q39_incremental_sync", """SELECT CAST(n_nationkey AS VARCHAR) AS _id, CAST(n_nationkey + 1 AS BIGINT) AS _ts, n_regionkey = 0 AS _deleted, n_name AS name, CAST(n_regionkey AS BIGINT) AS region,
+  CAST(CASE WHEN n_regionkey = 0 THEN 3 ELSE 1 END AS TINYINT) AS __status, CAST(CASE WHEN n_regionkey = 0 THEN 3 ELSE 1 END AS VARCHAR) || '#' || CAST(n_nationkey AS VARCHAR) AS __status_id,
+  CAST(n_nationkey AS VARCHAR) || '#' || CAST(n_nationkey + 1 AS VARCHAR) AS __id_ts FROM nation""")
+def q39(spark: SparkSession, d: str) -> DataFrame:
+    """The dimension ``nation`` as a paged log of seven rows a page: lease, cursor, schema, chunks, merge."""
+    rows = [{"_table": "nation", "_id": str(r["n_nationkey"]), "_ts": r["n_nationkey"] + 1, "_deleted": r["n_regionkey"] == 0, "name": r["n_name"], "region": r["n_regionkey"]} for r in table(spark, d, "nation").orderBy("n_nationkey").collect()]
+    schema = {"schemas": {"nation": {"properties": {"name": {"type": "string"}, "region": {"type": "integer"}}}}}
+
+    def transport(url: str, headers: dict[str, str], timeout: float) -> dict:
+        parts = urllib.parse.urlsplit(url)
+        if parts.path.endswith("schemas"):
+            return schema
+        at = int(urllib.parse.parse_qs(parts.query)["cursor"][0])
+        return {"values": rows[at : at + 7], "cursor": str(min(at + 7, len(rows))), "hasMore": at + 7 < len(rows)}
+
+    root = shared_dir(spark, "sync")
+    store, state, log = VersionedStore(spark, f"{root}/store", buckets=4), StateStore(spark, f"{root}/state"), ChangeLog("http://localhost", transport=transport)
+    CursorState(state).seed("0")
+    sync_once(Ingest(spark, store, state, SchemaCache(state, log), Settings(merge_pages=2, unknown_tables="create"), lambda *_: None), log)
+    return store.read("nation").select("_id", "_ts", "_deleted", "name", "region", *keys.GENERATED)
+
+
+@query("q40_json_or_quoted", f"SELECT event_id, CASE WHEN v IS NULL OR json_valid(v) THEN v ELSE CAST(to_json(v) AS VARCHAR) END AS v FROM {_QUOTED_FROM}")
+def q40(spark: SparkSession, d: str) -> DataFrame:
+    return _quoted(spark, d).select("event_id", json_or_quoted(F.col("v")).alias("v"))

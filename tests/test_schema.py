@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ByteType, DoubleType, FloatType, IntegerType, LongType, StringType
 
 from palimpsest.functions.coerce import coerced
-from palimpsest.functions.jsontext import double_text, is_quoted, unquoted
+from palimpsest.functions.jsontext import double_text, is_json, is_quoted, json_or_quoted, unquoted
 from palimpsest.functions.naming import file_stem, physical_name, physical_names, require_identifier
 from palimpsest.functions.normalize import ascii_json, normalized
 from palimpsest.plans.reconcile import SchemaDrift, UnknownTable, reconcile, reconcile_existing
@@ -169,3 +169,11 @@ def test_policies_and_collected_failures(spark, store):
     make(spark, store, [("a", "1", "x")])
     done, failed = reconcile_existing(store, {"Claims": {"properties": {"extra": N}}, "new": {"properties": {"b": S}}})
     assert len(done) == 2 and not failed and "extra" in store.schema("Claims").names
+
+
+def test_json_or_quoted(spark):
+    texts = ["1", '{"a":[1]}', "null", '"x"', '"x" junk', "1,2", "1] [2", '1} {"a":2', "", " ", "plain", None, ' true ', 'say "hi"']
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, s string")
+    got = df.select("i", is_json(F.col("s")).alias("j"), json_or_quoted(F.col("s")).alias("q")).orderBy("i").collect()
+    assert [r["j"] for r in got] == [True, True, True, True] + [False] * 8 + [True, False]
+    assert got[4]["q"] == '"\\"x\\" junk"' and got[10]["q"] == '"plain"' and got[11]["q"] is None and got[13]["q"] == '"say \\"hi\\""'
