@@ -117,8 +117,14 @@ class PatternIndex:
         self.shift = np.uint64(64 - min(28, bits))
         self.maybe = np.zeros(1 << min(28, bits), bool)
         self.maybe[(self.codes >> self.shift).astype(np.int64)] = True
-        self.bound = min((p.bound for p in found), default=1)
-        self.reach = max((len(p.text) + 2 * p.edits for p in found), default=0)
+        # Patterns of like length share a bound and a reach: the smallest bound and the longest reach among them.
+        self.classes = []
+        for c in sorted({len(p.text) // 40 for p in found}):
+            some = [p for p in found if len(p.text) // 40 == c]
+            inside = np.array([len(p.text) // 40 == c for p in found])[owner[order]]
+            has = np.add.reduceat(inside, self.start) > 0
+            self.classes.append((min(p.bound for p in some), max(len(p.text) + 2 * p.edits for p in some), has))
+        self.reach = max((r for _, r, _ in self.classes), default=0)
         self.edits = np.array([p.edits for p in found] or [0])
         self.bounds = np.array([p.bound for p in found] or [0])
 
@@ -135,22 +141,24 @@ class PatternIndex:
     def _piece(self, points: np.ndarray, known: set[int]) -> set[int]:
         code = gram_codes(points)
         where = np.flatnonzero(self.maybe[(code >> self.shift).astype(np.int64)])
-        if len(where) < self.bound:
+        if not len(where):
             return set()
         k = np.searchsorted(self.codes, code[where])
         hit = self.codes[np.minimum(k, len(self.codes) - 1)] == code[where]
         where, k = where[hit], k[hit]
-        # A region needs ``bound`` positions that hit within ``reach``; the others cannot be part of one.
-        if len(where) < self.bound:
+        # A region needs ``bound`` positions that hit patterns of its class within ``reach``; others cannot be part of one.
+        keep = np.zeros(len(where), bool)
+        for bound, reach, has in self.classes:
+            own = np.flatnonzero(has[k])
+            at = where[own]
+            dense = np.flatnonzero(at[bound - 1 :] - at[: max(0, len(at) - bound + 1)] <= reach)
+            if len(dense):
+                mark = np.zeros(len(own) + 1, np.int64)
+                np.add.at(mark, dense, 1)
+                np.add.at(mark, dense + bound, -1)
+                keep[own[np.cumsum(mark[:-1]) > 0]] = True
+        if not keep.any():
             return set()
-        b = self.bound
-        dense = np.flatnonzero(where[b - 1 :] - where[: len(where) - b + 1] <= self.reach)
-        if not len(dense):
-            return set()
-        mark = np.zeros(len(where) + 1, np.int64)
-        np.add.at(mark, dense, 1)
-        np.add.at(mark, dense + b, -1)
-        keep = np.cumsum(mark[:-1]) > 0
         where, k = where[keep], k[keep]
         out: set[int] = set()
         # Whole runs of neighbouring hits are spread at a time, so memory stays bounded.
@@ -180,6 +188,9 @@ class PatternIndex:
                 p = int(own[j])
                 if p in known or p in out:
                     continue
+                # What the lemma counts are places of the pattern; a repetitive text can hit one many times.
+                if len(np.unique(self.pos[entry[key == keys[j]]])) < self.bounds[p]:
+                    continue
                 s = 2 * int(self.edits[p]) + 1
                 first = int(keys[j] & 0xFFFFFFFF) * 2 * s - half * s - (1 << 20)
                 if self._verified(points, p, first, first + 2 * s - 1):
