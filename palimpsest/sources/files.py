@@ -2,8 +2,15 @@
 
 from __future__ import annotations
 
+import json
+import time
+from typing import Any
+
 from pyspark.sql import SparkSession
 
+#: Times and pauses that a reader gives a writer which has created a file but not closed it yet.
+TRIES, PAUSE = 20, 0.1
+
 
 class Files:
     """Reads, lists and exclusively creates files below any path that Spark can open."""
@@ -27,13 +34,27 @@ class Files:
         finally:
             stream.close()
 
+    def read_json(self, path: str) -> Any:
+        """A file's JSON value; one that is still being written is waited for."""
+        for left in reversed(range(TRIES)):
+            text = self.read(path)
+            if text is None:
+                return None
+            try:
+                return json.loads(text)
+            except ValueError:
+                if not left:
+                    raise
+                time.sleep(PAUSE)
+        return None
+
     def create(self, path: str, text: str) -> bool:
-        """Write a new file; False if the name is taken. The text appears under the name at once or not at all."""
+        """Write a new file; False if the name is taken. As exclusive as the file system's own creation is."""
         fs, p = self._at(path)
         if fs.exists(p):
             return False
         fs.mkdirs(p.getParent())
-        # Exclusive creation decides who wins; a rename over a taken name would not on every store.
+        # Creation without overwriting decides who wins; a rename over a taken name would not on every store.
         try:
             stream = fs.create(p, False)
         except Exception as e:

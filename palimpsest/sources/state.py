@@ -34,8 +34,7 @@ class StateStore:
         tags = self._tags(key)
         if not tags:
             return None, None
-        text = self.files.read(f"{self.root}/{key}/{tags[-1]}")
-        return (json.loads(text) if text else None), tags[-1]
+        return self.files.read_json(f"{self.root}/{key}/{tags[-1]}"), tags[-1]
 
     def swap(self, key: str, value: Json | None, tag: str | None) -> str:
         """Write if the value still has ``tag`` (None: if there is none yet); returns the new tag."""

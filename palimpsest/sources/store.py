@@ -45,8 +45,7 @@ class Manifest:
         return json.dumps({**self.__dict__, "schema": self.schema.jsonValue(), "entries": list(self.entries)})
 
     @staticmethod
-    def load(text: str) -> Manifest:
-        d = json.loads(text)
+    def load(d: dict[str, Any]) -> Manifest:
         return Manifest(**{**d, "schema": StructType.fromJson(d["schema"]), "entries": tuple(d["entries"])})
 
 
@@ -75,8 +74,7 @@ class VersionedStore:
         have = self.versions(table)
         if not have or version is not None and version not in have:
             raise LookupError(f"no table {table!r}" if not have else f"no version {version} of {table!r}")
-        text = self.files.read(f"{self._dir(table)}/_versions/{have[-1] if version is None else version:08d}.json")
-        return Manifest.load(text)
+        return Manifest.load(self.files.read_json(f"{self._dir(table)}/_versions/{have[-1] if version is None else version:08d}.json"))
 
     def _commit(self, table: str, base: Manifest | None, **changes: Any) -> Manifest:
         version = base.version + 1 if base else 1
