@@ -4,9 +4,9 @@ Documents are dealt by ranges of doc_id and sorted; each task encodes its range
 files in the Arrow file format (the stream format with a footer, so any batch is found without
 reading the others):
 
-- ``*.tokens.arrow``: ``tokens`` fixed_size_list<uint32>[length] and ``mask`` fixed_size_list<uint8>[length], batches of
-  ``batch`` sequences. The stream of ids runs on from one sequence to the next; only a file's last sequence is
-  padded, with mask 0. Memory-mapped, any sequence or id is reached without a copy.
+- ``*.tokens.arrow``: ``tokens`` fixed_size_list<uint16 or uint32>[length], as the vocabulary needs, and ``mask``
+  fixed_size_list<bool>[length], batches of ``batch`` sequences. The stream of ids runs on from one sequence to the
+  next; only a file's last sequence is padded, with mask false. Memory-mapped, any sequence or id is reached without a copy.
 - ``*.docs.arrow``: ``doc_id, start, n_tokens`` of each document in the file's stream.
 
 A task that runs again writes files of another name; the manifest lists those of the task that counted.
@@ -20,7 +20,7 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
-from itertools import chain
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
@@ -33,15 +33,15 @@ from palimpsest.llm.common import new_dir, own_columns, table, written
 
 LENGTH, BATCH = 2048, 128
 END_ID = 2
-#: Pieces and characters up to which a worker remembers ids.
-PIECES, CHARS = 300_000, 8_000_000
+#: Pieces and words that a worker remembers ids of at most, characters of either, and characters of texts encoded together.
+PIECES, WORDS, SHORT, BLOCK = 250_000, 450_000, 64, 2_000_000
 
 
 class Encoder:
-    """Ids of whole texts by the tokenizers library.
+    """Ids of whole texts by the tokenizers library, as bytes of an unsigned type.
 
-    The tokenizer must drop white space and encode what stands between spaces by itself, as
-    word-level ones do; then each piece between blanks is encoded once and remembered.
+    The tokenizer must drop white space, lower the case of ASCII letters and never join a word to ASCII punctuation behind
+    it. Then what stands between blanks, and of it the word and the punctuation behind it, can be encoded once and remembered.
     """
 
     def __init__(self, path: str) -> None:
@@ -49,19 +49,67 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, list[int]] = {}
-        self.chars = 0
-
-    def ids(self, text: str) -> np.ndarray:
-        pieces = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        if len(self.known) > PIECES or self.chars > CHARS:
-            self.known.clear()
-            self.chars = 0
-        if fresh := list(set(pieces).difference(self.known)):
-            for piece, got in zip(fresh, self.tokenizer.encode_batch(fresh, add_special_tokens=False), strict=True):
-                self.known[piece] = got.ids
-                self.chars += len(piece) + 1
-        return np.fromiter(chain.from_iterable(map(self.known.__getitem__, pieces)), np.uint32)
+        self.type = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # Tokens that end a word, if the vocabulary marks them.
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
+        self.words: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+
+    def _encoded(self, words: list[str]) -> list[bytes]:
+        """The ids of each word; words of letters alone go through in one text and are told apart by the ends of words."""
+        letters = [w for w in words if w.isalpha()]
+        out = {}
+        for at in range(0, len(letters), 1024):
+            some = letters[at : at + 1024]
+            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, self.type)
+            ends = (np.flatnonzero(self.ends[ids]) + 1) * self.type.itemsize
+            if len(ends) == len(some):
+                raw, starts = ids.tobytes(), [0, *ends[:-1].tolist()]
+                out.update(zip(some, [raw[i:j] for i, j in zip(starts, ends.tolist(), strict=True)], strict=True))
+        rest = [w for w in words if w not in out]
+        for at in range(0, len(rest), 1024):
+            some = rest[at : at + 1024]
+            got = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
+            out.update((w, np.array(x.ids, self.type).tobytes()) for w, x in zip(some, got, strict=True))
+        return [out[w] for w in words]
+
+    def _learn(self, fresh: set[str], plain: bool) -> None:
+        """Remember pieces; ``plain``: no special token stands in them."""
+        if len(self.words) > WORDS:
+            self.words.clear()
+        cores = [p.rstrip(punctuation) or p if plain or not any(t in p for t in self.special) else p for p in fresh]
+        tails = [p[len(c) :] for p, c in zip(fresh, cores, strict=True)]
+        cores = [c.lower() if c.isascii() and (plain or c.isalpha()) else c for c in cores]
+        new = list({*cores, *tails}.difference(self.words))
+        self.words.update(zip(new, self._encoded(new), strict=True))
+        get = self.words.__getitem__
+        self.pieces.update((p, get(c) + get(t)) for p, c, t in zip(fresh, cores, tails, strict=True))
+        for w in new:
+            if len(w) > SHORT:
+                del self.words[w]
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text."""
+        out: list[bytes] = []
+        at = 0
+        while at < len(texts):
+            size, end = 0, at
+            while end < len(texts) and (end == at or size + len(texts[end]) <= BLOCK):
+                size, end = size + len(texts[end]), end + 1
+            cut = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts[at:end]]
+            if len(self.pieces) > PIECES:
+                self.pieces.clear()
+            fresh = set().union(*cut).difference(self.pieces)
+            if fresh:
+                self._learn(fresh, not any(t in text for text in texts[at:end] for t in self.special))
+            out += [b"".join(map(self.pieces.__getitem__, pieces)) for pieces in cut]
+            for p in fresh:
+                if len(p) > SHORT:
+                    del self.pieces[p]
+            at = end
+        return out
 
 
 _encoders: dict[str, Encoder] = {}
@@ -73,47 +121,43 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
-def _schema(length: int) -> pa.Schema:
-    return pa.schema([("tokens", pa.list_(pa.uint32(), length)), ("mask", pa.list_(pa.uint8(), length))])
-
-
 class TokenWriter:
     """One pair of files; ids are added document by document."""
 
-    def __init__(self, fs: pafs.FileSystem, stem: str, id_type: pa.DataType, length: int, batch: int) -> None:
-        self.length, self.room = length, length * batch
+    def __init__(self, fs: pafs.FileSystem, stem: str, id_type: pa.DataType, type_: np.dtype, length: int, batch: int) -> None:
+        self.length, self.room, self.type = length, length * batch, type_
         self.sinks = [fs.open_output_stream(f"{stem}.tokens.arrow"), fs.open_output_stream(f"{stem}.docs.arrow")]
-        self.schema = _schema(length)
+        self.schema = pa.schema([("tokens", pa.list_(pa.from_numpy_dtype(type_), length)), ("mask", pa.list_(pa.bool_(), length))])
         self.index = pa.schema([("doc_id", id_type), ("start", pa.int64()), ("n_tokens", pa.int64())])
         self.out = pa.ipc.new_file(self.sinks[0], self.schema)
         self.docs = pa.ipc.new_file(self.sinks[1], self.index)
-        self.held: list[np.ndarray] = []
+        self.held: list[bytes] = []
         self.waiting = self.total = 0
 
     def _write(self, ids: np.ndarray) -> None:
         pad = -len(ids) % self.length
-        mask = np.r_[np.ones(len(ids), np.uint8), np.zeros(pad, np.uint8)]
-        ids = np.r_[ids, np.zeros(pad, np.uint32)] if pad else ids
+        mask = np.r_[np.ones(len(ids), bool), np.zeros(pad, bool)]
+        ids = np.r_[ids, np.zeros(pad, self.type)] if pad else ids
         lists = [pa.FixedSizeListArray.from_arrays(pa.array(x), self.length) for x in (ids, mask)]
         self.out.write_batch(pa.RecordBatch.from_arrays(lists, schema=self.schema))
 
-    def add(self, doc_ids: pa.Array, docs: list[np.ndarray]) -> None:
-        n = np.array([len(x) for x in docs], np.int64)
+    def add(self, doc_ids: pa.Array, docs: list[bytes]) -> None:
+        n = np.array([len(x) for x in docs], np.int64) // self.type.itemsize
         start = self.total + np.cumsum(n) - n
         self.docs.write_batch(pa.RecordBatch.from_arrays([doc_ids, pa.array(start), pa.array(n)], schema=self.index))
         self.held += docs
         self.total += int(n.sum())
         self.waiting += int(n.sum())
         if self.waiting >= self.room:
-            ids = np.concatenate(self.held)
+            ids = np.frombuffer(b"".join(self.held), self.type)
             whole = len(ids) - len(ids) % self.room
             for at in range(0, whole, self.room):
                 self._write(ids[at : at + self.room])
-            self.held, self.waiting = [ids[whole:]], len(ids) - whole
+            self.held, self.waiting = [ids[whole:].tobytes()], len(ids) - whole
 
     def close(self) -> int:
         if self.waiting:
-            self._write(np.concatenate(self.held))
+            self._write(np.frombuffer(b"".join(self.held), self.type))
         for x in (self.out, self.docs, *self.sinks):
             x.close()
         return self.total
@@ -130,15 +174,19 @@ class TokenFile:
         self.batch = self.file.get_batch(0).num_rows if self.file.num_record_batches else 1
         self._at, self._got = -1, None
 
-    def _values(self, batch: int, name: str = "tokens") -> np.ndarray:
+    def _lists(self, batch: int) -> pa.RecordBatch:
         if self._at != batch:
             self._at, self._got = batch, self.file.get_batch(batch)
-        return self._got.column(name).values.to_numpy(zero_copy_only=True)
+        return self._got
+
+    def _values(self, batch: int) -> np.ndarray:
+        return self._lists(batch).column("tokens").values.to_numpy(zero_copy_only=True)
 
-    def sequence(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+    def sequence(self, i: int) -> tuple[np.ndarray, pa.BooleanArray]:
         """Ids and mask of the i-th sequence."""
-        at = slice(i % self.batch * self.length, (i % self.batch + 1) * self.length)
-        return self._values(i // self.batch)[at], self._values(i // self.batch, "mask")[at]
+        at = i % self.batch * self.length
+        mask = self._lists(i // self.batch).column("mask").values.slice(at, self.length)
+        return self._values(i // self.batch)[at : at + self.length], mask
 
     def ids(self, start: int, n: int) -> np.ndarray:
         """Ids ``start`` to ``start + n`` of the file's stream; a copy only where they cross batches."""
@@ -147,7 +195,7 @@ class TokenFile:
             part = self._values(start // room)[start % room : start % room + n]
             parts.append(part)
             start, n = start + len(part), n - len(part)
-        return parts[0] if len(parts) == 1 else np.concatenate(parts or [np.zeros(0, np.uint32)])
+        return parts[0] if len(parts) == 1 else np.concatenate(parts or [np.zeros(0, np.uint16)])
 
 
 def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int | None = END_ID, length: int = LENGTH, batch: int = BATCH) -> DataFrame:
@@ -161,17 +209,18 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = pafs.FileSystem.from_uri(folder)
         task, writer, stem = TaskContext.get(), None, ""
+        enc = encoder(tokenizer)
+        end = b"" if end_id is None else np.array([end_id], enc.type).tobytes()
         for b in batches:
             if not b.num_rows:
                 continue
             if writer is None:
                 fs.create_dir(root, recursive=True)
                 stem = f"part-{task.partitionId():06d}-{task.taskAttemptId()}"
-                writer = TokenWriter(fs, f"{root}/{stem}", b.column("doc_id").type, length, batch)
-            enc, end = encoder(tokenizer), np.array([] if end_id is None else [end_id], np.uint32)
+                writer = TokenWriter(fs, f"{root}/{stem}", b.column("doc_id").type, enc.type, length, batch)
             for at in range(0, b.num_rows, 256):
                 piece = b.slice(at, 256)
-                writer.add(piece.column("doc_id"), [np.concatenate([enc.ids(t or ""), end]) for t in piece.column("text").to_pylist()])
+                writer.add(piece.column("doc_id"), [x + end for x in enc.ids([t or "" for t in piece.column("text").to_pylist()])])
         if writer is not None:
             yield pa.RecordBatch.from_pylist([{"part": task.partitionId(), "tokens": f"{folder}/{stem}.tokens.arrow", "docs": f"{folder}/{stem}.docs.arrow", "n_tokens": writer.close()}])
 
@@ -192,7 +241,7 @@ def read_token_files(manifest: DataFrame, id_type: str = "long") -> DataFrame:
                 for i in range(index.num_record_batches):
                     part = index.get_batch(i)
                     start, n = part.column("start").to_numpy(), part.column("n_tokens").to_numpy()
-                    crc = [zlib.crc32(np.ascontiguousarray(tokens.ids(s, k)).view(np.uint8)) for s, k in zip(start.tolist(), n.tolist(), strict=True)]
+                    crc = [zlib.crc32(tokens.ids(s, k).astype("<u4").tobytes()) for s, k in zip(start.tolist(), n.tolist(), strict=True)]
                     yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(start + row["start"]), part.column("n_tokens"), pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
     files = max(1, manifest.count())
