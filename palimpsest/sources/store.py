@@ -117,14 +117,14 @@ class VersionedStore:
         # A bucket's rows meet in one task; AQE may split a bucket that is far larger than others.
         dealt = df.withColumn(BUCKET, bucket).hint("rebalance", BUCKET) if "_id" in df.columns else df.withColumn(BUCKET, bucket)
         dealt.write.partitionBy(BUCKET).parquet(path)
-        found = []
-        counts = {r[0]: r[1] for r in self.spark.read.parquet(path).groupBy(BUCKET).count().collect()} if self._parts(path) else {}
-        for b, n in sorted(counts.items()):
-            found.append({"path": f"{path}/{BUCKET}={b}", "bucket": b, "rows": n})
-        return found
+        return self._entries(path)
 
-    def _parts(self, path: str) -> list[str]:
-        return [n for n in self.files.names(path) if n.startswith(f"{BUCKET}=")]
+    def _entries(self, path: str) -> list[dict[str, Any]]:
+        """Buckets of a data folder and their rows, which the files' footers tell."""
+        if not any(n.startswith(f"{BUCKET}=") for n in self.files.names(path)):
+            return []
+        rows = self.spark.read.schema(f"{BUCKET} int").parquet(path).groupBy(BUCKET).count().collect()
+        return [{"path": f"{path}/{BUCKET}={b}", "bucket": b, "rows": n} for b, n in sorted(map(tuple, rows))]
 
     def create(self, table: str, schema: StructType, buckets: int | None = None, layout: dict[str, Any] | None = None) -> Manifest:
         """An empty table."""
@@ -233,8 +233,7 @@ class VersionedStore:
         path = f"{self._dir(table)}/data/{uuid.uuid4().hex}"
         dealt = rows.withColumn(BUCKET, self._bucket(base.schema, base.buckets)).hint("rebalance", BUCKET)
         dealt.sortWithinPartitions(BUCKET, *[quoted(c) for c in wanted]).write.partitionBy(BUCKET).parquet(path)
-        counts = self.spark.read.parquet(path).groupBy(BUCKET).count().collect()
-        entries = [{"path": f"{path}/{BUCKET}={r[0]}", "bucket": r[0], "rows": r[1]} for r in sorted(counts)]
+        entries = self._entries(path)
         rest = [e for e in base.entries if e["bucket"] not in several]
         return self._commit(table, base, entries=(*rest, *entries), layout={**base.layout, "sorted_by": wanted}, operation="compact")
 
