@@ -7,7 +7,7 @@ demand. A source's documents stand in an order fixed by a hash, pass after pass;
 word is the k-th of that stream gets the time at which the demand reaches k, by inverting the integral. Copies
 past the target are not taken. Documents are range-sorted by time.
 
-The hash range is cut into cells of a few thousand documents; sums of cells give each cell its
+The hash range is cut into cells of about a thousand documents; sums of cells give each cell its
 offset, so no source is gathered in a task, however many rows it has.
 
 Defined results: a null or empty text has size 0 and is never worth a word; null is a source of its own, the last;
@@ -33,7 +33,7 @@ SCHEDULES: tuple[tuple[tuple[float, float], ...], ...] = (
     ((0.0, 0.25), (0.5, 1.0), (1.0, 1.75)),
 )
 #: Documents in a cell, about.
-CELL = 4096
+CELL = 1024
 WORD = r"[^\x20\x09-\x0D]+"
 
 
