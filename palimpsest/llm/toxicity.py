@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from palimpsest.llm import boosting
-from palimpsest.llm.common import own_columns, table, written
+from palimpsest.llm.common import first_by_hash, own_columns, table, written
 
 #: Labelled rows that the model is fitted on at most, and learnt lexicon words at most.
 SAMPLE, LEXICON = 6000, 400
@@ -178,7 +178,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> To
     """Fit on at most ``sample`` labelled rows that are not held out, the first by a hash of doc_id."""
     known = own_columns(labels, "doc_id", "toxic").where("toxic is not null and doc_id is not null").where(~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    known = first_by_hash(known, "doc_id", sample)
     # At most ``sample`` pairs of numbers are broadcast.
     rows = written(own_columns(docs, "doc_id", "text").join(F.broadcast(written(known, "labelled")), "doc_id"), "sample")
     learnt = learnt_words(rows)

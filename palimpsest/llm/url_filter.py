@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from palimpsest.llm import boosting
-from palimpsest.llm.common import own_columns, table
+from palimpsest.llm.common import first_by_hash, own_columns, table
 
 # The contract's rules.
 RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
@@ -123,7 +123,7 @@ class UrlModel:
 def fit_urls(labelled: DataFrame, sample: int = SAMPLE) -> UrlModel:
     """``labelled``: url and blocked (0 or 1). The first ``sample`` distinct URLs by hash are used."""
     rows = own_columns(labelled, "url", "blocked").where("url is not null and blocked is not null").groupBy("url").agg(F.max("blocked").alias("blocked"))
-    rows = rows.orderBy(F.xxhash64("url"), "url").limit(sample)
+    rows = first_by_hash(rows, "url", sample)
     got = lexical_features(parse(rows)).select(*NAMES[:_COUNTED], "tld", "domain", "blocked").collect()
     return UrlModel([tuple(r) for r in got], [int(r["blocked"]) for r in got])
 
