@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palimpsest.llm.common import own_columns, table, utf8
+from palimpsest.llm.common import first_by_hash, own_columns, table, utf8
 
 #: Documents whose paragraphs serve as unknown examples at most, and paragraphs taken from them at most.
 SAMPLE, PARAGRAPHS = 400, 1500
@@ -222,7 +222,10 @@ def fit_licenses(paragraphs: list[bytes], seed: int = 11, copies: int = 24) -> L
 
 def example_paragraphs(docs: DataFrame, sample: int = SAMPLE, most: int = PARAGRAPHS) -> list[bytes]:
     """Paragraphs of the first ``sample`` documents by hash, ``most`` of them by hash."""
-    some = own_columns(docs, "doc_id", "text").where("text is not null").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    rows = own_columns(docs, "doc_id", "text").where("text is not null")
+    # Ids are chosen first, so that no texts are sorted; at most ``sample`` of them are broadcast.
+    chosen = first_by_hash(rows.select("doc_id").where("doc_id is not null"), "doc_id", sample).distinct()
+    some = rows.join(F.broadcast(chosen), "doc_id", "left_semi").limit(2 * sample)
     lines = some.select(F.explode(F.split("text", "\n")).alias("line")).where("line <> ''").select(F.substring("line", 1, 400).alias("line"))
     return [r["line"].encode() for r in lines.orderBy(F.xxhash64("line"), "line").limit(most).collect()]
 
