@@ -1,6 +1,6 @@
 """Token ids in Arrow files of fixed-size lists.
 
-Documents are dealt by ranges of doc_id and sorted; each task encodes its range and writes two
+Documents are dealt by ranges of doc_id, or of an order that is given, and sorted; each task encodes its range and writes two
 files in the Arrow file format (the stream format with a footer, so any batch is found without
 reading the others):
 
@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import os
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from string import punctuation
 
 import numpy as np
@@ -198,13 +198,16 @@ class TokenFile:
         return parts[0] if len(parts) == 1 else np.concatenate(parts or [np.zeros(0, np.uint16)])
 
 
-def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int | None = END_ID, length: int = LENGTH, batch: int = BATCH) -> DataFrame:
+def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int | None = END_ID, length: int = LENGTH, batch: int = BATCH, order: Sequence[str] = ()) -> DataFrame:
     """Encode ``docs`` (doc_id, text) into files in ``folder``; returns the manifest ``part, tokens, docs, n_tokens, start``.
 
-    ``part`` numbers the files in ascending doc_id order; ``start`` counts the ids of all files before.
+    ``part`` numbers the files in ascending order of doc_id, or of the columns ``order``; ``start`` counts the ids of all files before.
     """
-    rows = own_columns(docs, "doc_id", "text")
-    rows = rows.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", "text")
+    rows = own_columns(docs, "doc_id", "text", *order)
+    if order:
+        rows = rows.repartitionByRange(*order).sortWithinPartitions(*order, "doc_id", "text").select("doc_id", "text")
+    else:
+        rows = rows.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = pafs.FileSystem.from_uri(folder)
@@ -254,10 +257,26 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def token_digests(docs: DataFrame) -> DataFrame:
-    """Write all documents to files in the shared folder and read them back."""
+def in_order(docs: DataFrame) -> DataFrame:
+    """``doc_id, text`` with ``__part`` and ``__row``, which number the rows in the order that they have or were written in.
+
+    Spark reads files in an order of its own, but their names count the parts of the table that was written.
+    """
+    plan = docs._jdf.queryExecution().analyzed()
+    while plan.nodeName() in ("Project", "Filter", "SubqueryAlias"):
+        plan = plan.child()
+    if plan.getClass().getSimpleName() != "LogicalRelation":
+        return own_columns(docs, "doc_id", "text").select("*", F.lit(0).cast("long").alias("__part"), F.monotonically_increasing_id().alias("__row"))
+    part, file = (F.coalesce(F.expr(f"try_cast(regexp_extract(_metadata.file_name, '{p}', 1) as long)"), F.lit(0).cast("long")) for p in (r"^part-([0-9]+)", r"-c([0-9]+)[.]"))
+    # A task's files and their rows; 40 bits are left for the rows of a file.
+    return docs.select("doc_id", "text", part.alias("__part"), (F.shiftleft(file, 40) + F.col("_metadata.row_index")).alias("__row"))
+
+
+def token_digests(docs: DataFrame, ordered: bool = False) -> DataFrame:
+    """Write all documents to files in the shared folder and read them back; ``ordered``: in the order of ``docs`` instead of doc_id's."""
     folder = new_dir(docs.sparkSession, "tokens")
-    manifest = write_token_files(docs, default_tokenizer(), folder)
+    rows, order = (in_order(docs), ["__part", "__row"]) if ordered else (docs, [])
+    manifest = write_token_files(rows, default_tokenizer(), folder, order=order)
     return read_token_files(manifest, docs.schema["doc_id"].dataType.simpleString())
 
 
