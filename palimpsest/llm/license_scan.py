@@ -226,7 +226,7 @@ def example_paragraphs(docs: DataFrame, sample: int = SAMPLE, most: int = PARAGR
     # Ids are chosen first, so that no texts are sorted; at most ``sample`` of them are broadcast.
     chosen = first_by_hash(rows.select("doc_id").where("doc_id is not null"), "doc_id", sample).distinct()
     some = rows.join(F.broadcast(chosen), "doc_id", "left_semi").limit(2 * sample)
-    lines = some.select(F.explode(F.split("text", "\n")).alias("line")).where("line <> ''").select(F.substring("line", 1, 400).alias("line"))
+    lines = some.select(F.explode(F.split("text", "\n")).alias("line")).where("line <> ''")
     return [r["line"].encode() for r in lines.orderBy(F.xxhash64("line"), "line").limit(most).collect()]
 
 
