@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from palimpsest.functions.keys import GENERATED, require_inputs, with_generated
@@ -33,10 +34,14 @@ def migration_query(source: DataFrame, where: str | None = None, order_by: str |
     rows = rows.select(*base, F.col("_current"))
     out = with_generated(rows)
     if order_by:
-        view = f"__migration_{abs(hash((where, order_by, limit)))}"
-        out.createOrReplaceTempView(view)
+        # Jobs of other threads share the session, so a view's name is never used twice.
+        view = f"__migration_{uuid.uuid4().hex}"
         parts = [p if "nulls" in p.lower() else f"{p} NULLS LAST" for p in _split(order_by)]
-        out = source.sparkSession.sql(f"SELECT * FROM {view} ORDER BY {', '.join(parts)}")
+        out.createTempView(view)
+        try:
+            out = source.sparkSession.sql(f"SELECT * FROM {view} ORDER BY {', '.join(parts)}")
+        finally:
+            source.sparkSession.catalog.dropTempView(view)
     return (out.limit(limit) if limit is not None else out).drop("_current")
 
 
@@ -61,17 +66,20 @@ def migrate_table(store: VersionedStore, table: str, source: DataFrame, mode: st
     """Write the migration query as a new version and compare the rows it gave with the rows that arrived."""
     if mode not in ("overwrite", "append"):
         raise ValueError(f"mode: {mode}")
-    query = migration_query(source, where, order_by, limit)
+    seen = Observation()
+    query = migration_query(source, where, order_by, limit).observe(seen, F.count(F.lit(1)).alias("rows"))
     before = store.count(table) if mode == "append" and store.exists(table) else 0
-    # With a limit a recount could see other rows, so the number is known beforehand or bounded.
-    expected = query.count() if verify else None
     if mode == "append" and store.exists(table):
         done = store.append(table, query)
     else:
         done = store.overwrite(table, query, operation="migrate")
     arrived = done.rows - before
+    expected = seen.get["rows"] if verify else None
     if verify and arrived != expected:
-        raise CountMismatch(f"{table}: source {expected}, target {arrived}")
+        # Tasks that ran again are observed again; a recount decides.
+        expected = migration_query(source, where, order_by, limit).count()
+        if arrived != expected:
+            raise CountMismatch(f"{table}: source {expected}, target {arrived}")
     create_indexes(store, table)
     return {"table": table, "source_rows": expected, "target_rows": arrived, "version": done.version}
 

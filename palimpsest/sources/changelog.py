@@ -89,10 +89,18 @@ def admitted(row: Row) -> bool:
 
 
 def raw_row(row: Row, cursor: str, page: int, seq: int) -> tuple:
+    """A document as columns; any ``_deleted`` that is not empty or zero marks a tombstone, and a time with a fraction is an error."""
     created = row.get("_creationTime")
     doc = json.dumps(row, separators=(",", ":"), ensure_ascii=False)
-    deleted = row.get("_deleted")
-    return (row["_table"], str(row["_id"]), int(row["_ts"]), deleted if isinstance(deleted, bool) else False, float(created) if isinstance(created, int | float) and not isinstance(created, bool) else None, doc, cursor, page, seq)
+    ts = int(row["_ts"])
+    if isinstance(row["_ts"], float) and ts != row["_ts"]:
+        raise ValueError(f"_ts of {row['_table']} {row['_id']} is no whole number: {row['_ts']}")
+    return (row["_table"], str(row["_id"]), ts, bool(row.get("_deleted")), float(created) if isinstance(created, int | float) and not isinstance(created, bool) else None, doc, cursor, page, seq)
+
+
+def page_mark(page: Row) -> tuple:
+    """A row without a table that tells of a page, so that pages without any accepted row are seen too."""
+    return (None, None, None, False, None, json.dumps(page), page["end_cursor"], page["page"], None)
 
 
 class Chunk:
@@ -146,7 +154,8 @@ class _Stream(SimpleDataSourceStreamReader):
             rows, after, more = log.page(chunk.end)
             seq = chunk.add(rows, after, more, seq)
             if chunk.full() if end is None else after == end or not more:
-                return iter(chunk.rows), {"cursor": chunk.end, "seq": seq}
+                marks = [page_mark(p) for p in chunk.pages] if self.options.get("marks") == "true" else []
+                return iter(marks + chunk.rows), {"cursor": chunk.end, "seq": seq}
 
     def read(self, start: dict) -> tuple[Iterator[tuple], dict]:
         return self._gather(start)

@@ -10,6 +10,8 @@ from pyspark.sql import SparkSession
 
 #: Times and pauses that a reader gives a writer which has created a file but not closed it yet.
 TRIES, PAUSE = 20, 0.1
+#: Seconds after which a file that still holds no whole value is what a dead writer left.
+STALE = 60
 
 
 class Files:
@@ -48,6 +50,20 @@ class Files:
                 time.sleep(PAUSE)
         return None
 
+    def newest_json(self, folder: str, names: list[str]) -> tuple[str | None, Any]:
+        """The last of the names whose file holds a whole value, and the value.
+
+        A writer that died between creating and closing a file leaves it torn; such files are passed over
+        once they are ``STALE`` seconds old, before that they raise.
+        """
+        for name in reversed(names):
+            try:
+                return name, self.read_json(f"{folder}/{name}")
+            except ValueError:
+                if self.age(f"{folder}/{name}") < STALE:
+                    raise
+        return None, None
+
     def create(self, path: str, text: str) -> bool:
         """Write a new file; False if the name is taken. As exclusive as the file system's own creation is."""
         fs, p = self._at(path)
@@ -74,6 +90,7 @@ class Files:
         fs, p = self._at(path)
         return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
 
-    def age_ms(self, path: str) -> int:
+    def age(self, path: str, now: float | None = None) -> float:
+        """Seconds since a file or folder was last changed."""
         fs, p = self._at(path)
-        return int(fs.getFileStatus(p).getModificationTime())
+        return (time.time() if now is None else now) - int(fs.getFileStatus(p).getModificationTime()) / 1000

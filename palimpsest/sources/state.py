@@ -5,8 +5,10 @@ from __future__ import annotations
 import json
 import os
 import socket
+import threading
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from typing import Any
 
 from pyspark.sql import SparkSession
@@ -32,9 +34,8 @@ class StateStore:
     def get(self, key: str) -> tuple[Json | None, str | None]:
         """Value and tag; (None, tag) after a delete, (None, None) if it never was."""
         tags = self._tags(key)
-        if not tags:
-            return None, None
-        return self.files.read_json(f"{self.root}/{key}/{tags[-1]}"), tags[-1]
+        # A torn newest file still counts as the tag: the next swap goes above it.
+        return self.files.newest_json(f"{self.root}/{key}", tags)[1], tags[-1] if tags else None
 
     def swap(self, key: str, value: Json | None, tag: str | None) -> str:
         """Write if the value still has ``tag`` (None: if there is none yet); returns the new tag."""
@@ -93,11 +94,34 @@ class Lease:
         return self
 
     def verify(self) -> Json:
+        """The lease, if it is still held and its time has not passed."""
         have, _ = self.state.get(self.key)
         if not have or have["owner"] != self.owner:
             raise LeaseHeld(f"{self.name} is no longer held by {self.owner}")
+        if have["expires_at"] <= self.clock():
+            raise LeaseHeld(f"the lease of {self.owner} on {self.name} has expired")
         return have
 
+    @contextmanager
+    def kept(self) -> Iterator[None]:
+        """Renewed on a thread of its own while the block runs; a renewal that fails is told by the next ``verify``."""
+        over = threading.Event()
+
+        def renew() -> None:
+            while not over.wait(self.ttl / 3):
+                try:
+                    self.heartbeat()
+                except Exception:  # taken, or the store is away: the lease runs out
+                    return
+
+        thread = threading.Thread(target=renew, daemon=True)
+        thread.start()
+        try:
+            yield
+        finally:
+            over.set()
+            thread.join()
+
     def heartbeat(self) -> None:
         have, tag = self.state.get(self.key)
         if not have or have["owner"] != self.owner:

@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import time
 import uuid
+from collections import Counter
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field, replace
 from typing import Any
@@ -71,13 +72,22 @@ class VersionedStore:
         return [n for n in self.files.names(self.root) if self.versions(n)]
 
     def manifest(self, table: str, version: int | None = None) -> Manifest:
+        """A version's manifest; without a number the newest that was written whole."""
         have = self.versions(table)
         if not have or version is not None and version not in have:
             raise LookupError(f"no table {table!r}" if not have else f"no version {version} of {table!r}")
-        return Manifest.load(self.files.read_json(f"{self._dir(table)}/_versions/{have[-1] if version is None else version:08d}.json"))
+        wanted = have if version is None else [version]
+        _, found = self.files.newest_json(f"{self._dir(table)}/_versions", [f"{v:08d}.json" for v in wanted])
+        if found is None:
+            raise LookupError(f"no whole version of {table!r}")
+        return Manifest.load(found)
 
     def _commit(self, table: str, base: Manifest | None, **changes: Any) -> Manifest:
-        version = base.version + 1 if base else 1
+        """The next version, above any that a dead writer left torn; any whole version after ``base`` is a conflict."""
+        have = [v for v in self.versions(table) if v > (base.version if base else 0)]
+        if have and self.manifest(table).version > (base.version if base else 0):
+            raise CommitConflict(f"{table}: version {have[0]} is taken")
+        version = max([base.version if base else 0, *have]) + 1
         made = replace(base, **changes) if base else Manifest(**{"version": 1, "entries": (), "rows": 0, **changes})
         made = replace(made, version=version, created_at=time.time())
         if not self.files.create(f"{self._dir(table)}/_versions/{version:08d}.json", made.dump()):
@@ -178,13 +188,26 @@ class VersionedStore:
         return self._commit(table, base, entries=(*rest, *entries), rows=sum(e["rows"] for e in [*rest, *entries]), operation="upsert")
 
     def delete_where(self, table: str, predicate: Column | str) -> Manifest:
-        """A version without the rows for which the predicate is true."""
+        """A version without the rows for which the predicate is true; buckets without such a row keep their files."""
         p = F.expr(predicate) if isinstance(predicate, str) else predicate
-        return self.overwrite(table, self.read(table).where(~F.coalesce(p, F.lit(False))), self.schema(table), "delete")
+        return self._delete(table, lambda rows: rows.where(p), lambda rows: rows.where(~F.coalesce(p, F.lit(False))))
 
     def delete_keys(self, table: str, keys: DataFrame, key: str = ID_TS) -> Manifest:
+        """A version without the rows whose ``key`` is among those of ``keys``."""
+        keys = keys.select(key).distinct()
+        return self._delete(table, lambda rows: rows.join(keys, key, "left_semi"), lambda rows: rows.join(keys, key, "left_anti"))
+
+    def _delete(self, table: str, gone: Callable[[DataFrame], DataFrame], left: Callable[[DataFrame], DataFrame]) -> Manifest:
         base = self.manifest(table)
-        return self.overwrite(table, self.read(table).join(keys.select(key), key, "left_anti").select(*[quoted(c) for c in base.schema.names]), base.schema, "delete")
+        hit: set[int] = set()
+        if base.entries:
+            # The files' own folders tell the buckets: at most as many numbers as there are buckets come to the driver.
+            bucket = F.regexp_extract("_metadata.file_path", f"{BUCKET}(?:=|%3D)([0-9]+)", 1).cast("int")
+            hit = {r[0] for r in gone(self._rows(base, base.entries).withColumn(BUCKET, bucket)).select(BUCKET).distinct().collect()}
+        old = [e for e in base.entries if e["bucket"] in hit]
+        kept = left(self._rows(base, old)).select(*[quoted(c) for c in base.schema.names])
+        entries = [e for e in base.entries if e["bucket"] not in hit] + (self._write(table, kept, base.buckets) if old else [])
+        return self._commit(table, base, entries=tuple(entries), rows=sum(e["rows"] for e in entries), operation="delete")
 
     def recreate_empty(self, table: str, schema: StructType) -> Manifest:
         """An empty version; the older ones stay."""
@@ -223,33 +246,45 @@ class VersionedStore:
     def compact(self, table: str, sort_by: Sequence[str] = ()) -> Manifest | None:
         """One run of files per bucket, rows in order of ``sort_by``; None if it already is so."""
         base = self.manifest(table)
-        several = {e["bucket"] for e in base.entries if sum(x["bucket"] == e["bucket"] for x in base.entries) > 1}
         wanted = list(sort_by) or base.layout.get("sort_by", [])
-        if base.layout.get("sorted_by") != wanted and wanted:
-            several = {e["bucket"] for e in base.entries}
+        runs = Counter(e["bucket"] for e in base.entries)
+        # Each entry tells the order of its rows: what was merged or appended since is not in order.
+        several = {e["bucket"] for e in base.entries if runs[e["bucket"]] > 1 or wanted and e.get("sorted_by", []) != wanted}
         if not several:
             return None
         rows = self._rows(base, [e for e in base.entries if e["bucket"] in several])
         path = f"{self._dir(table)}/data/{uuid.uuid4().hex}"
         dealt = rows.withColumn(BUCKET, self._bucket(base.schema, base.buckets)).hint("rebalance", BUCKET)
         dealt.sortWithinPartitions(BUCKET, *[quoted(c) for c in wanted]).write.partitionBy(BUCKET).parquet(path)
-        entries = self._entries(path)
+        entries = [{**e, "sorted_by": wanted} for e in self._entries(path)]
         rest = [e for e in base.entries if e["bucket"] not in several]
-        return self._commit(table, base, entries=(*rest, *entries), layout={**base.layout, "sorted_by": wanted}, operation="compact")
+        return self._commit(table, base, entries=(*rest, *entries), operation="compact")
 
     def vacuum(self, table: str, keep: int = 500, older_than: float = 259_200, now: float | None = None) -> list[int]:
-        """Drop versions beyond the newest ``keep`` that are older than so many seconds, and the data that no version left names."""
-        have, now = self.versions(table), time.time() if now is None else now
-        gone = [v for v in have[:-keep] if now - self.manifest(table, v).created_at > older_than] if keep > 0 else []
-        gone = [v for v in gone if v != have[-1]]
-        if not gone:
-            return []
-        left = {e["path"].rsplit("/", 2)[-2] for v in have if v not in gone for e in self.manifest(table, v).entries}
-        dead = {e["path"].rsplit("/", 2)[-2] for v in gone for e in self.manifest(table, v).entries} - left
+        """Drop versions beyond the newest ``keep`` that are older than so many seconds, and the data that no version left names.
+
+        That is the data of the versions dropped, and what failed jobs left so many seconds ago.
+        """
+        now = time.time() if now is None else now
+        at = self._dir(table)
+        known: dict[int, Manifest] = {}
+        for v in self.versions(table):
+            try:
+                known[v] = self.manifest(table, v)
+            except LookupError:  # torn: it names nothing
+                self.files.delete(f"{at}/_versions/{v:08d}.json")
+        have = list(known)
+        gone = [v for v in have[:-keep] if now - known[v].created_at > older_than] if keep > 0 else []
+        folders = lambda versions: {e["path"].rsplit("/", 2)[-2] for v in versions for e in known[v].entries}
+        left = folders(set(have) - set(gone))
+        dead = folders(gone) - left
+        for d in set(self.files.names(f"{at}/data")) - left - dead:
+            if self.files.age(f"{at}/data/{d}", now) > older_than:
+                dead.add(d)
         for v in gone:
-            self.files.delete(f"{self._dir(table)}/_versions/{v:08d}.json")
+            self.files.delete(f"{at}/_versions/{v:08d}.json")
         for d in sorted(dead):
-            self.files.delete(f"{self._dir(table)}/data/{d}")
+            self.files.delete(f"{at}/data/{d}")
         return gone
 
 

@@ -146,11 +146,24 @@ class Ingest:
             raw.unpersist()
 
 
-def _audit(state: StateStore, chunk: Chunk, merged: dict[str, int], owner: str, settings: Settings) -> None:
-    value = {"owner": owner, "rows_merged": sum(merged.values()), "tables": merged, "start_cursor": chunk.start, "end_cursor": chunk.end, "rows_seen": sum(p["rows_seen"] for p in chunk.pages), "rows_accepted": len(chunk.rows), "at": time.time()}
-    first, last = chunk.pages[0]["page"], chunk.pages[-1]["page"]
-    single = settings.merge_pages == 1 and len(chunk.pages) == 1
-    ends = f"{file_stem(chunk.start)}-{file_stem(chunk.end)}"
+def _commit_chunk(state: StateStore, lease: Lease, cursor: CursorState, at: tuple[str, str], pages: list[dict[str, Any]], merged: dict[str, int], settings: Settings, done: int) -> None:
+    """Audit a chunk whose tables are merged, and swap the cursor that was read before it (``at``); the lease must still be held."""
+    lease.verify()
+    if cursor.read() != at:
+        raise RuntimeError("the cursor has moved under this run")
+    _audit(state, pages, merged, lease.owner, settings)
+    start, end = pages[0]["start_cursor"], pages[-1]["end_cursor"]
+    if end != start:
+        cursor.advance(start, end, at[1], lease.owner, done)
+    lease.heartbeat()
+
+
+def _audit(state: StateStore, pages: list[dict[str, Any]], merged: dict[str, int], owner: str, settings: Settings) -> None:
+    start, end = pages[0]["start_cursor"], pages[-1]["end_cursor"]
+    value = {"owner": owner, "rows_merged": sum(merged.values()), "tables": merged, "start_cursor": start, "end_cursor": end, "rows_seen": sum(p["rows_seen"] for p in pages), "rows_accepted": sum(p["rows_accepted"] for p in pages), "at": time.time()}
+    first, last = pages[0]["page"], pages[-1]["page"]
+    single = settings.merge_pages == 1 and len(pages) == 1
+    ends = f"{file_stem(start)}-{file_stem(end)}"
     stamp = int(time.time() * 1000)
     if single:
         state.append_line(f"incremental/page_audit/{stamp}-{first}-{ends}.json", {**value, "page": first})
@@ -181,14 +194,9 @@ def sync_once(ingest: Ingest, log: ChangeLog, force: bool = False) -> dict[str,
                 seq = chunk.add(rows, after, more, seq)
                 if chunk.full():
                     break
-            merged = ingest.flush(chunk.frame(ingest.spark)) if chunk.rows else {}
-            lease.verify()
-            if cursor.read() != (last, tag):
-                raise RuntimeError("the cursor has moved under this run")
-            _audit(state, chunk, merged, lease.owner, s)
-            if chunk.end != chunk.start:
-                cursor.advance(chunk.start, chunk.end, tag, lease.owner, stats["pages"] + len(chunk.pages))
-            lease.heartbeat()
+            with lease.kept():
+                merged = ingest.flush(chunk.frame(ingest.spark)) if chunk.rows else {}
+            _commit_chunk(state, lease, cursor, (last, tag), chunk.pages, merged, s, stats["pages"] + len(chunk.pages))
             stats["pages"] += len(chunk.pages)
             stats["chunks"] += 1
             for p in chunk.pages:
@@ -227,31 +235,50 @@ def sync_loop(ingest: Ingest, log: ChangeLog, idle: Callable[[dict[str, Any]], b
     return done
 
 
-def sync_stream(ingest: Ingest, options: dict[str, str], checkpoint: str, max_chunks: int = 100) -> int:
-    """The same flush as a Structured Streaming batch function, until a chunk is empty; returns the chunks flushed.
+def sync_stream(ingest: Ingest, options: dict[str, str], checkpoint: str, max_chunks: int = 100, force: bool = False) -> int:
+    """The same flush as a Structured Streaming batch function, until the log ends; returns the chunks committed.
 
-    Spark's trigger for what is available stops after one ``read``, so the drain is here: a run per chunk.
-    The cursor file decides: a chunk that it has passed is not merged again.
+    Spark's trigger for what is available stops after one ``read``, so the drain is here: a run per chunk. The lease, the audit and the
+    cursor are those of ``sync_once``. The cursor of record decides: a chunk that it has passed is not merged
+    again, and a checkpoint that has another position than the cursor is refused. A new checkpoint starts at the cursor.
     """
     register(ingest.spark)
-    cursor = CursorState(ingest.state)
+    s, state = ingest.settings, ingest.state
+    lease = Lease(state, s.lease_name, s.lease_seconds).acquire(force)
+    cursor = CursorState(state)
     flushed = 0
-    for _ in range(max_chunks):
-        seen: list[int] = []
-
-        def batch(df: DataFrame, _: int, seen: list[int] = seen) -> None:
-            if df.isEmpty():
-                return
-            ingest.flush(df)
-            before, tag = cursor.read()
-            after = df.orderBy(F.desc("__page")).select(CURSOR).first()[0]
-            if after != before:
-                cursor.advance(before, after, tag, "stream", len(seen) + 1)
-            seen.append(1)
-
-        query = ingest.spark.readStream.format("pagedlog").options(**options).load().writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-        query.awaitTermination()
-        if not seen:
-            break
-        flushed += 1
-    return flushed
+    try:
+        options = {**options, "cursor": cursor.read()[0], "marks": "true"}
+        for _ in range(max_chunks):
+            seen: list[bool] = []
+
+            def batch(df: DataFrame, _: int, seen: list[bool] = seen) -> None:
+                df = df.persist()
+                try:
+                    marks = df.where("_table is null").select("doc").collect()  # one per page of the chunk
+                    pages = sorted((json.loads(m["doc"]) for m in marks), key=lambda p: p["page"])
+                    if not pages:
+                        return
+                    at = cursor.read()
+                    if at[0] == pages[-1]["end_cursor"] != pages[0]["start_cursor"]:  # passed before a crash
+                        seen.append(pages[-1]["has_more"])
+                        return
+                    if at[0] != pages[0]["start_cursor"]:
+                        raise RuntimeError(f"the checkpoint is at {pages[0]['start_cursor']}, the cursor at {at[0]}")
+                    with lease.kept():
+                        merged = ingest.flush(df.where("_table is not null")) if any(p["rows_accepted"] for p in pages) else {}
+                    _commit_chunk(state, lease, cursor, at, pages, merged, s, flushed + len(seen) + 1)
+                    for p in pages:
+                        ingest.event("page_committed", p | ({"buffered": True} if len(pages) > 1 else {}))
+                    seen.append(pages[-1]["has_more"])
+                finally:
+                    df.unpersist()
+
+            query = ingest.spark.readStream.format("pagedlog").options(**options).load().writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+            query.awaitTermination()
+            flushed += len(seen)
+            if not seen or not seen[-1]:
+                break
+        return flushed
+    finally:
+        lease.release()

@@ -3,7 +3,7 @@ import json
 
 import pytest
 
-from palimpsest.sources.changelog import ChangeLog, Chunk, folder_transport, register
+from palimpsest.sources.changelog import ChangeLog, Chunk, folder_transport, raw_row, register
 from palimpsest.sources.state import CursorState, Lease, LeaseHeld
 from palimpsest.streaming import ingest as ing
 from palimpsest.streaming.ingest import Ingest, SchemaCache, Settings, sync_loop, sync_once, sync_stream
@@ -138,6 +138,49 @@ def test_stream_and_batch_source(spark, setup, store, state, folder, tmp_path):
     assert live(store, "Work Items") == WANT and CursorState(state).read()[0] == "3"
 
 
+def test_stream_goes_on_past_pages_without_rows(setup, store, state, folder, tmp_path):
+    junk = [{"_id": "lost"}, "junk"]
+    pages = [{**PAGES[0]}, {"from": "1", "cursor": "2", "hasMore": True, "values": junk}, {"from": "2", "cursor": "3", "hasMore": True, "values": PAGES[2]["values"]}, {"from": "3", "cursor": "4", "hasMore": False, "values": []}]
+    with open(f"{folder}/pages.json", "w") as f:
+        json.dump(pages, f)
+    i, _, events = setup()
+    assert sync_stream(i, {"folder": folder, "merge_pages": "1"}, f"file://{tmp_path}/checkpoint") == 4
+    assert CursorState(state).read()[0] == "4" and live(store, "B") == {"b#1": 0, "b#5": 1}
+    assert [v["rows_accepted"] for n, v in events if n == "page_committed"] == [2, 0, 2, 0]
+    assert len(state.files.names(f"{state.root}/incremental/page_audit")) == 4
+
+
+def test_stream_respects_the_lease_and_the_cursor(setup, state, folder, tmp_path):
+    i, log, _ = setup()
+    options = {"folder": folder, "merge_pages": "1"}
+    with Lease(state, "incremental"), pytest.raises(LeaseHeld):
+        sync_stream(i, options, f"file://{tmp_path}/checkpoint")
+    assert sync_stream(i, options, f"file://{tmp_path}/checkpoint", max_chunks=1) == 1 and CursorState(state).read()[0] == "1"
+    CursorState(state).seed("0")
+    with pytest.raises(Exception, match="checkpoint is at 1"):
+        sync_stream(i, options, f"file://{tmp_path}/checkpoint")
+    assert state.get("locks/incremental")[0] is None
+    # A chunk that the cursor has passed is not merged again.
+    CursorState(state).seed("2")
+    assert sync_stream(i, options, f"file://{tmp_path}/checkpoint") == 2 and CursorState(state).read()[0] == "3"
+
+
+def test_run_that_outlived_its_lease_keeps_the_cursor(setup, state, monkeypatch):
+    i, log, _ = setup()
+    monkeypatch.setattr(Lease, "verify", lambda self: (_ for _ in ()).throw(LeaseHeld("expired")))
+    with pytest.raises(LeaseHeld, match="expired"):
+        sync_once(i, log)
+    assert CursorState(state).read()[0] == "0"
+
+
+def test_truthy_tombstones_and_whole_times():
+    deleted = lambda v: raw_row(delta("t", "a", 1, _deleted=v), "c", 1, 0)[3]
+    assert [deleted(v) for v in (True, 1, "true", False, 0, "", None)] == [True, True, True, False, False, False, False]
+    assert raw_row(delta("t", "a", 5.0), "c", 1, 0)[2] == 5
+    with pytest.raises(ValueError, match="whole number"):
+        raw_row(delta("t", "a", 5.5), "c", 1, 0)
+
+
 def test_requests_are_retried():
     calls, slept = [], []
 

@@ -1,9 +1,13 @@
+import time
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField
 
 from palimpsest.functions.keys import with_generated
 from palimpsest.operators import jobs, repair
+from palimpsest.sources import files
 from palimpsest.sources.config import apply_config, parse_config, table_list
 from palimpsest.sources.state import Conflict, CursorState, Lease, LeaseHeld
 from palimpsest.sources.store import CommitConflict
@@ -179,3 +183,79 @@ def test_cursor_must_be_seeded(state):
     with pytest.raises(Conflict):
         c.advance(cursor, "6", tag, "me", 1)
     assert c.read()[0] == "5"
+
+
+def test_migrations_of_other_threads_keep_to_their_tables(spark):
+    sources = {t: spark.createDataFrame([(t, 1, True, False)], "_id string, _ts long, _current boolean, _deleted boolean") for t in "ab"}
+
+    def ids(t):
+        return {r["_id"] for _ in range(15) for r in jobs.migration_query(sources[t], "_ts > 0", "_id", 5).collect()}
+
+    with ThreadPoolExecutor(4) as pool:
+        assert list(pool.map(ids, "abab")) == [{"a"}, {"b"}, {"a"}, {"b"}]
+    assert not [v for v in spark.catalog.listTables() if "__migration" in v.name]
+
+
+def test_merged_buckets_are_put_in_order_again(store, rows):
+    store.create("T", rows.schema)
+    store.append("T", rows)
+    jobs.create_indexes(store, "T")
+    assert store.compact("T") is not None and store.compact("T") is None
+    store.upsert("T", rows.where("_ts = 7").withColumn("value", F.lit("new")))
+    done = store.compact("T")
+    assert done is not None and {tuple(e["sorted_by"]) for e in done.entries} == {tuple(done.layout["sort_by"])}
+    assert store.compact("T") is None and store.read("T").count() == 30
+
+
+def test_deletes_leave_other_buckets_alone(store, rows):
+    store.overwrite("T", rows)
+    before = {e["bucket"]: e["path"] for e in store.manifest("T").entries}
+    store.delete_where("T", "_id = '4' or value is null")
+    after = {e["bucket"]: e["path"] for e in store.manifest("T").entries}
+    assert sum(before[b] != p for b, p in after.items()) == 1 and store.count("T") == store.read("T").count() == 29
+    store.delete_keys("T", rows.where("_ts in (4, 5)"))
+    assert store.count("T") == store.read("T").count() == 28
+    assert store.delete_where("T", "_ts > 1000").entries == store.manifest("T").entries and store.count("T") == 28
+    store.delete_where("T", "true")
+    assert store.count("T") == store.read("T").count() == 0
+
+
+def test_vacuum_takes_what_failed_jobs_left(store, rows):
+    store.overwrite("T", rows)
+    rows.write.parquet(f"{store.root}/t/data/lost")
+    now = store.manifest("T").created_at + 1000
+    assert store.vacuum("T", older_than=10**6, now=now) == [] and "lost" in store.files.names(f"{store.root}/t/data")
+    assert store.vacuum("T", older_than=500, now=now) == []
+    assert "lost" not in store.files.names(f"{store.root}/t/data") and store.read("T").count() == 30
+
+
+def test_torn_files_of_dead_writers_are_passed_over(store, state, rows, monkeypatch):
+    monkeypatch.setattr(files, "TRIES", 1)
+    store.overwrite("T", rows)
+    tag = state.swap("k", {"v": 1}, None)
+    store.files.create(f"{store.root}/t/_versions/00000002.json", '{"version": 2, "sch')
+    state.files.create(f"{state.root}/k/000000000002.json", "")
+    # Fresh ones may still be being written.
+    for read in (lambda: store.read("T"), lambda: state.get("k")):
+        with pytest.raises(ValueError):
+            read()
+    monkeypatch.setattr(files, "STALE", -1)
+    assert store.read("T").count() == 30 and store.delete_where("T", "_ts < 5").version == 3 and store.read("T").count() == 25
+    value, torn = state.get("k")
+    assert value == {"v": 1} and torn != tag
+    state.swap("k", {"v": 2}, torn)
+    assert state.get("k")[0] == {"v": 2}
+    assert store.vacuum("T") == [] and store.versions("T") == [1, 3]
+
+
+def test_lease_expires_and_is_renewed(state):
+    now = [0.0]
+    a = Lease(state, "x", 0.3, lambda: now[0]).acquire()
+    with a.kept():
+        now[0] = 0.2
+        time.sleep(0.5)
+    now[0] = 0.4
+    a.verify()
+    now[0] = 0.6
+    with pytest.raises(LeaseHeld, match="expired"):
+        a.verify()
