@@ -17,13 +17,16 @@ ordered by text; an empty table gives no files and no rows; other columns are ig
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from string import punctuation
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -33,15 +36,41 @@ from palimpsest.llm.common import new_dir, own_columns, table, written
 
 LENGTH, BATCH = 2048, 128
 END_ID = 2
-#: Pieces and words that a worker remembers ids of at most, characters of either, and characters of texts encoded together.
-PIECES, WORDS, SHORT, BLOCK = 250_000, 450_000, 64, 2_000_000
+#: Words that a worker remembers ids of at least and, twice over, at most; characters of such a word, and bytes of texts encoded together.
+WORDS, SHORT, BLOCK = 250_000, 64, 8_000_000
+#: Characters of a text that deal rows of equal ids.
+HEAD = 64
+# What the word tokenizer does before its merges, and the end of a word in its vocabulary.
+NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [{"type": "Split", "pattern": {"Regex": SPLIT}, "behavior": "Removed", "invert": True}, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+WORD_END = "</w>"
+#: Words of Latin letters: such a word is one piece, and lower case changes its letters one by one. U+0130 would become two characters.
+LETTERS = "^[A-Za-zªµºÀ-ÖØ-öø-\u012f\u0131-\u024f]+$"
+_GAP = re.compile(r"[\x20\x09-\x0D]")
+_APART = re.compile(f"[{re.escape(punctuation)}][A-Za-z]")
+
+
+def gathered(flat: np.ndarray, start: np.ndarray, size: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of ``flat`` that ``index`` numbers, one after another, and the size of each."""
+    n = size[index]
+    ends = np.cumsum(n)
+    at = np.arange(ends[-1] if len(ends) else 0)
+    at += np.repeat(start[index] - (ends - n), n)
+    return flat[at], n
+
+
+def _strings(texts: pa.Array) -> list[str]:
+    """Far faster than ``to_pylist``."""
+    return texts.to_numpy(zero_copy_only=False).tolist()
 
 
 class Encoder:
-    """Ids of whole texts by the tokenizers library, as bytes of an unsigned type.
+    """Ids of whole texts by the tokenizers library, as an array of an unsigned type.
 
-    The tokenizer must drop white space, lower the case of ASCII letters and never join a word to ASCII punctuation behind
-    it. Then what stands between blanks, and of it the word and the punctuation behind it, can be encoded once and remembered.
+    A tokenizer that is known to cut at white space, and between a Latin letter and ASCII punctuation behind it, encodes each word
+    once per block of texts; frequent words are remembered. What is cut is a word of Latin letters, in lower case, with its
+    punctuation apart; any other word between blanks is encoded as it stands. Any other tokenizer gets whole texts.
     """
 
     def __init__(self, path: str) -> None:
@@ -50,66 +79,105 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.type = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        # Tokens that end a word, if the vocabulary marks them.
+        told = json.loads(self.tokenizer.to_str())
+        # A special token must not fit into letters with punctuation behind them, nor hold a blank.
+        plain = all(not (t["normalized"] or t["lstrip"] or t["rstrip"] or t["single_word"] or _GAP.search(t["content"])) and _APART.search(t["content"]) for t in told["added_tokens"])
+        self.by_word = plain and not told["truncation"] and not told["padding"] and told["normalizer"] == NORMALIZER and told["pre_tokenizer"] == PRE_TOKENIZER and told["model"].get("end_of_word_suffix") == WORD_END
+        # Tokens that end a word.
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
-        self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
-        self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
-
-    def _encoded(self, words: list[str]) -> list[bytes]:
-        """The ids of each word; words of letters alone go through in one text and are told apart by the ends of words."""
-        letters = [w for w in words if w.isalpha()]
-        out = {}
-        for at in range(0, len(letters), 1024):
-            some = letters[at : at + 1024]
-            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, self.type)
-            ends = (np.flatnonzero(self.ends[ids]) + 1) * self.type.itemsize
-            if len(ends) == len(some):
-                raw, starts = ids.tobytes(), [0, *ends[:-1].tolist()]
-                out.update(zip(some, [raw[i:j] for i, j in zip(starts, ends.tolist(), strict=True)], strict=True))
-        rest = [w for w in words if w not in out]
-        for at in range(0, len(rest), 1024):
-            some = rest[at : at + 1024]
-            got = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
-            out.update((w, np.array(x.ids, self.type).tobytes()) for w, x in zip(some, got, strict=True))
-        return [out[w] for w in words]
-
-    def _learn(self, fresh: set[str], plain: bool) -> None:
-        """Remember pieces; ``plain``: no special token stands in them."""
-        if len(self.words) > WORDS:
-            self.words.clear()
-        cores = [p.rstrip(punctuation) or p if plain or not any(t in p for t in self.special) else p for p in fresh]
-        tails = [p[len(c) :] for p, c in zip(fresh, cores, strict=True)]
-        cores = [c.lower() if c.isascii() and (plain or c.isalpha()) else c for c in cores]
-        new = list({*cores, *tails}.difference(self.words))
-        self.words.update(zip(new, self._encoded(new), strict=True))
-        get = self.words.__getitem__
-        self.pieces.update((p, get(c) + get(t)) for p, c, t in zip(fresh, cores, tails, strict=True))
-        for w in new:
-            if len(w) > SHORT:
-                del self.words[w]
-
-    def ids(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text."""
-        out: list[bytes] = []
+        self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(WORD_END)]] = True
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def _each(self, texts: list[str]) -> list[bytes]:
+        out = []
+        for at in range(0, len(texts), 1024):
+            got = self.tokenizer.encode_batch_fast(texts[at : at + 1024], add_special_tokens=False)
+            out += [np.array(x.ids, self.type).tobytes() for x in got]
+        return out
+
+    def _letters(self, words: list[str]) -> list[bytes]:
+        """Words of letters go through in one text and are told apart by the ends of words."""
+        out = []
+        for at in range(0, len(words), 1024):
+            some = words[at : at + 1024]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, self.type)
+            ends = ((np.flatnonzero(self.ends[ids]) + 1) * self.type.itemsize).tolist()
+            raw = ids.tobytes()
+            out += [raw[i:j] for i, j in zip([0, *ends], ends, strict=False)] if len(ends) == len(some) else self._each(some)
+        return out
+
+    def _remembered(self, words: list[str], encode: Callable[[list[str]], list[bytes]]) -> list[bytes]:
+        if len(self.young) > WORDS:
+            self.old, self.young = self.young, {}
+        got = list(map(self.young.get, words))
+        missing = [i for i, x in enumerate(got) if x is None]
+        fresh = []
+        for i in missing:
+            if (x := self.old.get(words[i])) is None:
+                fresh.append(i)
+            else:
+                got[i] = self.young[words[i]] = x
+        for i, x in zip(fresh, encode([words[i] for i in fresh]), strict=True):
+            got[i] = x
+            if len(words[i]) <= SHORT:
+                self.young[words[i]] = x
+        return got
+
+    def _runs(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of all the words, and where those of each start and how many they are."""
+        core = pc.ascii_rtrim(words, characters=punctuation)
+        simple = pc.match_substring_regex(core, LETTERS)
+        mask = simple.to_numpy(zero_copy_only=False)
+        core = core.filter(simple)
+        letters = pc.utf8_lower(core).dictionary_encode()
+        tails = [w[n:] for w, n in zip(_strings(words.filter(simple)), pc.utf8_length(core).to_numpy().tolist(), strict=True)]
+        number = {t: i for i, t in enumerate(dict.fromkeys(["", *tails]))}
+        units = self._remembered(_strings(letters.dictionary), self._letters)
+        first_tail, first_other = len(units), len(units) + len(number)
+        units += self._remembered(list(number), self._each)
+        units += self._remembered(_strings(words.filter(pc.invert(simple))), self._each)
+        unit = np.full((len(words), 2), first_tail)
+        unit[mask, 0] = letters.indices.to_numpy()
+        unit[mask, 1] += np.fromiter(map(number.__getitem__, tails), np.int64, len(tails))
+        unit[~mask, 0] = np.arange(first_other, len(units))
+        size = np.fromiter(map(len, units), np.int64, len(units)) // self.type.itemsize
+        flat, n = gathered(np.frombuffer(b"".join(units), self.type), np.cumsum(size) - size, size, unit.ravel())
+        size = n.reshape(-1, 2).sum(1)
+        return flat, np.cumsum(size) - size, size
+
+    def _block(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts without nulls, one after another, and how many each has."""
+        if not self.by_word:
+            got = self._each(_strings(texts))
+            return np.frombuffer(b"".join(got), self.type), np.array([len(x) for x in got], np.int64) // self.type.itemsize
+        words = pc.ascii_split_whitespace(texts)
+        coded = words.values.dictionary_encode()
+        ids, n = gathered(*self._runs(coded.dictionary), coded.indices.to_numpy())
+        return ids, np.diff(np.r_[0, np.cumsum(n)][words.offsets.to_numpy()])
+
+    def ids(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Of some texts after others: their ids one after another, and how many each has; a null text has none.
+
+        A text above ``BLOCK`` is cut at white space where the tokenizer cuts there, so what is in hand at once has a bound.
+        """
+        texts = texts.fill_null("")
+        size = pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
         at = 0
         while at < len(texts):
-            size, end = 0, at
-            while end < len(texts) and (end == at or size + len(texts[end]) <= BLOCK):
-                size, end = size + len(texts[end]), end + 1
-            cut = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts[at:end]]
-            if len(self.pieces) > PIECES:
-                self.pieces.clear()
-            fresh = set().union(*cut).difference(self.pieces)
-            if fresh:
-                self._learn(fresh, not any(t in text for text in texts[at:end] for t in self.special))
-            out += [b"".join(map(self.pieces.__getitem__, pieces)) for pieces in cut]
-            for p in fresh:
-                if len(p) > SHORT:
-                    del self.pieces[p]
+            end = at + max(1, int(np.searchsorted(np.cumsum(size[at:]), BLOCK, side="right")))
+            if size[at] <= BLOCK or not self.by_word:
+                yield self._block(texts.slice(at, end - at))
+            else:
+                text, start, got = texts[at].as_py(), 0, []
+                while start < len(text):
+                    gap = _GAP.search(text, start + BLOCK // 4)
+                    stop = gap.start() if gap else len(text)
+                    got.append(self._block(pa.array([text[start:stop]]))[0])
+                    start = stop
+                ids = np.concatenate(got)
+                yield ids, np.array([len(ids)])
             at = end
-        return out
 
 
 _encoders: dict[str, Encoder] = {}
@@ -131,7 +199,7 @@ class TokenWriter:
         self.index = pa.schema([("doc_id", id_type), ("start", pa.int64()), ("n_tokens", pa.int64())])
         self.out = pa.ipc.new_file(self.sinks[0], self.schema)
         self.docs = pa.ipc.new_file(self.sinks[1], self.index)
-        self.held: list[bytes] = []
+        self.held: list[np.ndarray] = []
         self.waiting = self.total = 0
 
     def _write(self, ids: np.ndarray) -> None:
@@ -141,23 +209,22 @@ class TokenWriter:
         lists = [pa.FixedSizeListArray.from_arrays(pa.array(x), self.length) for x in (ids, mask)]
         self.out.write_batch(pa.RecordBatch.from_arrays(lists, schema=self.schema))
 
-    def add(self, doc_ids: pa.Array, docs: list[bytes]) -> None:
-        n = np.array([len(x) for x in docs], np.int64) // self.type.itemsize
-        start = self.total + np.cumsum(n) - n
-        self.docs.write_batch(pa.RecordBatch.from_arrays([doc_ids, pa.array(start), pa.array(n)], schema=self.index))
-        self.held += docs
-        self.total += int(n.sum())
-        self.waiting += int(n.sum())
+    def add(self, doc_ids: pa.Array, ids: np.ndarray, n: np.ndarray) -> None:
+        """Documents, their ids one after another, and how many each has."""
+        self.docs.write_batch(pa.RecordBatch.from_arrays([doc_ids, pa.array(self.total + np.cumsum(n) - n), pa.array(n)], schema=self.index))
+        self.held.append(ids)
+        self.total += len(ids)
+        self.waiting += len(ids)
         if self.waiting >= self.room:
-            ids = np.frombuffer(b"".join(self.held), self.type)
+            ids = np.concatenate(self.held)
             whole = len(ids) - len(ids) % self.room
             for at in range(0, whole, self.room):
                 self._write(ids[at : at + self.room])
-            self.held, self.waiting = [ids[whole:].tobytes()], len(ids) - whole
+            self.held, self.waiting = [ids[whole:].copy()], len(ids) - whole
 
     def close(self) -> int:
         if self.waiting:
-            self._write(np.frombuffer(b"".join(self.held), self.type))
+            self._write(np.concatenate(self.held))
         for x in (self.out, self.docs, *self.sinks):
             x.close()
         return self.total
@@ -207,13 +274,13 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int
     if order:
         rows = rows.repartitionByRange(*order).sortWithinPartitions(*order, "doc_id", "text").select("doc_id", "text")
     else:
-        rows = rows.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", "text")
+        # Bounds of ranges hold the beginnings of texts alone; these have the order of the texts.
+        rows = rows.repartitionByRange("doc_id", F.substring("text", 1, HEAD)).sortWithinPartitions("doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = pafs.FileSystem.from_uri(folder)
         task, writer, stem = TaskContext.get(), None, ""
         enc = encoder(tokenizer)
-        end = b"" if end_id is None else np.array([end_id], enc.type).tobytes()
         for b in batches:
             if not b.num_rows:
                 continue
@@ -221,9 +288,12 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int
                 fs.create_dir(root, recursive=True)
                 stem = f"part-{task.partitionId():06d}-{task.taskAttemptId()}"
                 writer = TokenWriter(fs, f"{root}/{stem}", b.column("doc_id").type, enc.type, length, batch)
-            for at in range(0, b.num_rows, 256):
-                piece = b.slice(at, 256)
-                writer.add(piece.column("doc_id"), [x + end for x in enc.ids([t or "" for t in piece.column("text").to_pylist()])])
+            at = 0
+            for ids, n in enc.ids(b.column("text")):
+                if end_id is not None:
+                    ids, n = np.insert(ids, np.cumsum(n), end_id), n + 1
+                writer.add(b.column("doc_id").slice(at, len(n)), ids, n)
+                at += len(n)
         if writer is not None:
             yield pa.RecordBatch.from_pylist([{"part": task.partitionId(), "tokens": f"{folder}/{stem}.tokens.arrow", "docs": f"{folder}/{stem}.docs.arrow", "n_tokens": writer.close()}])
 
