@@ -10,6 +10,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 _own: dict[str, str] = {}
+_kept: set[str] = set()
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
@@ -23,4 +24,11 @@ def shared_dir(spark: SparkSession, name: str) -> str:
             _own[app] = tempfile.mkdtemp(prefix="palimpsest-core-")
             atexit.register(shutil.rmtree, _own[app], ignore_errors=True)
         told = f"file://{_own[app]}"
-    return f"{told.rstrip('/')}/palimpsest/{name}-{uuid.uuid4().hex}"
+    base = f"{told.rstrip('/')}/palimpsest/{spark.sparkContext.applicationId}-core"
+    if base not in _kept:
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base)
+        fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        fs.mkdirs(at)
+        fs.deleteOnExit(at)  # what is still there when the application ends
+        _kept.add(base)
+    return f"{base}/{name}-{uuid.uuid4().hex}"
