@@ -6,8 +6,11 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +18,7 @@ from pyspark.sql import functions as F
 WORD_GAP = r"[\x20\x09-\x0D]+"
 
 _own: dict[str, str] = {}
+_kept: set[str] = set()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -35,22 +39,42 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_dir(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder; nothing is created there yet."""
-    return f"{shared_dir(spark)}/palimpsest/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the application's part of the shared folder; nothing is created there yet.
 
+    What is still in that part when the application ends goes then, if its driver can still tell.
+    """
+    base = f"{shared_dir(spark)}/palimpsest/{spark.sparkContext.applicationId}"
+    if base not in _kept:
+        fs, at = _hadoop(spark, base)
+        fs.mkdirs(at)
+        fs.deleteOnExit(at)
+        _kept.add(base)
+    return f"{base}/{name}-{uuid.uuid4().hex}"
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read again: its lineage ends there."""
+
+def stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``df`` written to the shared folder and read again, and the folder, for who can tell when it may go."""
     spark = df.sparkSession
     path = new_dir(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read again: its lineage ends there."""
+    return stored(df, name)[0]
 
 
-def delete_dir(spark: SparkSession, path: str) -> None:
-    """Remove a folder of intermediate rows through Hadoop's file systems."""
+def _hadoop(spark: SparkSession, path: str) -> tuple:
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def delete_dir(spark: SparkSession, *paths: str) -> None:
+    """Remove folders of intermediate rows through Hadoop's file systems."""
+    for path in paths:
+        fs, at = _hadoop(spark, path)
+        fs.delete(at, True)
 
 
 def own_columns(df: DataFrame, *names: str) -> DataFrame:
@@ -59,16 +83,48 @@ def own_columns(df: DataFrame, *names: str) -> DataFrame:
 
 
 def first_by_hash(df: DataFrame, key: str, n: int) -> DataFrame:
-    """The ``n`` rows of the smallest hash of ``key``; rows that cannot be among them do not travel.
+    """Of the distinct values of ``key`` (nulls do not count) the ``n`` of the smallest hash, fewer only if there are fewer; a table of that column.
 
     Of a larger table only the hashes below a bound are sorted that lets about twice ``n`` rows through, so what the tasks send to
-    the last one does not grow with their number. Hashes are even, so fewer than ``n`` are as good as ruled out, and are no harm.
+    the last one does not grow with their number. The bound is raised until it lets ``n`` values through, however often some repeat.
     """
-    total = df.count()
     hash_ = F.xxhash64(key)
-    if total > 2 * n + 1000:
-        df = df.where(hash_.cast("double") / 2.0**64 + 0.5 < (2 * n + 1000) / total)
-    return df.orderBy(hash_, key).limit(n)
+    keys = df.where(F.col(key).isNotNull()).select(key)
+    share = (2 * n + 1000) / max(1, df.count())
+    while share < 1:
+        some = keys.where(hash_.cast("double") / 2.0**64 + 0.5 < share).distinct()
+        if some.count() >= n:
+            return some.orderBy(hash_, key).limit(n)
+        share *= 16
+    return keys.distinct().orderBy(hash_, key).limit(n)
+
+
+def spans(size: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Runs of neighbouring rows of at most ``most`` bytes together, given the bytes of each; a larger row is a run of its own."""
+    ends = np.cumsum(size)
+    at = 0
+    while at < len(size):
+        end = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most, side="right")))
+        yield at, end
+        at = end
+
+
+def words_of(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Words ``[^\\x20\\x09-\\x0D]+`` of some texts: the distinct ones, the number of each in their order, and where each text's start, with the end."""
+    lists = pc.ascii_split_whitespace(texts.fill_null(""))
+    coded = lists.values.dictionary_encode()
+    index, starts = coded.indices.to_numpy(), lists.offsets.to_numpy()
+    words = strings(coded.dictionary)
+    if "" in words:  # what stands before a first gap or behind a last one
+        filled = index != words.index("")
+        starts = np.r_[0, np.cumsum(filled)][starts]
+        index = index[filled]
+    return words, index, starts
+
+
+def strings(texts: pa.Array) -> list[str]:
+    """Far faster than ``to_pylist``."""
+    return texts.to_numpy(zero_copy_only=False).tolist()
 
 
 def utf8(column: pa.ChunkedArray | pa.Array) -> list[bytes]:

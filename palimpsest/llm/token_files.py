@@ -32,14 +32,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from palimpsest.llm.common import new_dir, own_columns, table, written
+from palimpsest.llm.common import new_dir, own_columns, spans, strings, table, written
 
 LENGTH, BATCH = 2048, 128
 END_ID = 2
 #: Words that a worker remembers ids of at least and, twice over, at most; characters of such a word, and bytes of texts encoded together.
-WORDS, SHORT, BLOCK = 250_000, 64, 8_000_000
+WORDS, SHORT, BLOCK = 150_000, 64, 4_000_000
 #: Characters of a text that deal rows of equal ids.
-HEAD = 64
+HEAD = 16
 # What the word tokenizer does before its merges, and the end of a word in its vocabulary.
 NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
 SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
@@ -60,11 +60,6 @@ def gathered(flat: np.ndarray, start: np.ndarray, size: np.ndarray, index: np.nd
     return flat[at], n
 
 
-def _strings(texts: pa.Array) -> list[str]:
-    """Far faster than ``to_pylist``."""
-    return texts.to_numpy(zero_copy_only=False).tolist()
-
-
 class Encoder:
     """Ids of whole texts by the tokenizers library, as an array of an unsigned type.
 
@@ -131,12 +126,12 @@ class Encoder:
         mask = simple.to_numpy(zero_copy_only=False)
         core = core.filter(simple)
         letters = pc.utf8_lower(core).dictionary_encode()
-        tails = [w[n:] for w, n in zip(_strings(words.filter(simple)), pc.utf8_length(core).to_numpy().tolist(), strict=True)]
+        tails = [w[n:] for w, n in zip(strings(words.filter(simple)), pc.utf8_length(core).to_numpy().tolist(), strict=True)]
         number = {t: i for i, t in enumerate(dict.fromkeys(["", *tails]))}
-        units = self._remembered(_strings(letters.dictionary), self._letters)
+        units = self._remembered(strings(letters.dictionary), self._letters)
         first_tail, first_other = len(units), len(units) + len(number)
         units += self._remembered(list(number), self._each)
-        units += self._remembered(_strings(words.filter(pc.invert(simple))), self._each)
+        units += self._remembered(strings(words.filter(pc.invert(simple))), self._each)
         unit = np.full((len(words), 2), first_tail)
         unit[mask, 0] = letters.indices.to_numpy()
         unit[mask, 1] += np.fromiter(map(number.__getitem__, tails), np.int64, len(tails))
@@ -149,7 +144,7 @@ class Encoder:
     def _block(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of texts without nulls, one after another, and how many each has."""
         if not self.by_word:
-            got = self._each(_strings(texts))
+            got = self._each(strings(texts))
             return np.frombuffer(b"".join(got), self.type), np.array([len(x) for x in got], np.int64) // self.type.itemsize
         words = pc.ascii_split_whitespace(texts)
         coded = words.values.dictionary_encode()
@@ -163,21 +158,18 @@ class Encoder:
         """
         texts = texts.fill_null("")
         size = pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
-        at = 0
-        while at < len(texts):
-            end = at + max(1, int(np.searchsorted(np.cumsum(size[at:]), BLOCK, side="right")))
+        for at, end in spans(size, BLOCK):
             if size[at] <= BLOCK or not self.by_word:
                 yield self._block(texts.slice(at, end - at))
-            else:
-                text, start, got = texts[at].as_py(), 0, []
-                while start < len(text):
-                    gap = _GAP.search(text, start + BLOCK // 4)
-                    stop = gap.start() if gap else len(text)
-                    got.append(self._block(pa.array([text[start:stop]]))[0])
-                    start = stop
-                ids = np.concatenate(got)
-                yield ids, np.array([len(ids)])
-            at = end
+                continue
+            text, start, got = texts[at].as_py(), 0, []
+            while start < len(text):
+                gap = _GAP.search(text, start + BLOCK // 4)
+                stop = gap.start() if gap else len(text)
+                got.append(self._block(pa.array([text[start:stop]]))[0])
+                start = stop
+            ids = np.concatenate(got)
+            yield ids, np.array([len(ids)])
 
 
 _encoders: dict[str, Encoder] = {}

@@ -123,7 +123,8 @@ class UrlModel:
 def fit_urls(labelled: DataFrame, sample: int = SAMPLE) -> UrlModel:
     """``labelled``: url and blocked (0 or 1). The first ``sample`` distinct URLs by hash are used."""
     rows = own_columns(labelled, "url", "blocked").where("url is not null and blocked is not null").groupBy("url").agg(F.max("blocked").alias("blocked"))
-    rows = first_by_hash(rows, "url", sample)
+    # At most ``sample`` URLs are broadcast.
+    rows = rows.join(F.broadcast(first_by_hash(rows, "url", sample)), "url")
     got = lexical_features(parse(rows)).select(*NAMES[:_COUNTED], "tld", "domain", "blocked").collect()
     return UrlModel([tuple(r) for r in got], [int(r["blocked"]) for r in got])
 
