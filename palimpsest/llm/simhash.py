@@ -4,13 +4,12 @@ A document's words are ``[^\x20\x09-\x0D]+`` after A-Z are lower-cased; its feat
 XXH64 (seed 42) of its word shingles, repeats included. A fingerprint bit is 1 if it is set in
 over half of them.
 
-Two fingerprints within ``radius`` bits agree on all but ``radius`` of any ``radius + 2`` equal
-blocks of bits, so they share two whole blocks. Each distinct fingerprint goes to the shard of each pair of
-blocks. A shard has a BK-tree, whose children are keyed by the integer Hamming distance to
-the parent, and each of its members searches it along the edges within the radius. A shard above
-``SHARD`` members is dealt anew by pairs of blocks of the bits still free, which leaves at
-most 2**16 members, so a tree has a proven bound. The trees meet their queries in the shard's task instead of a
-driver's broadcast, which would have to carry every fingerprint to every task.
+Two fingerprints within ``radius`` bits agree on at least one of any ``radius + 1`` disjoint blocks of bits. Each distinct
+fingerprint goes to a shard for each of so many blocks, as wide as leaves about ``TREE`` members to a shard on average. A shard has a
+BK-tree, whose children are keyed by the integer Hamming distance to the parent, and each of its members
+searches it along the edges within the radius. A shard above ``SHARD`` members is dealt anew by blocks of the bits that its members need not share,
+and so on, which ends as the bits do. The trees meet their queries in the shard's task instead of a driver's broadcast, which would have to carry
+every fingerprint through the driver to every task.
 
 Defined results: null and empty texts have no words, fingerprint zero and links like any other; a null doc_id
 keeps its row and never names a component unless all ids of the component are null; repeated rows stay;
@@ -19,22 +18,24 @@ an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from palimpsest.llm.common import own_columns, table, utf8, written
+from palimpsest.llm.common import delete_dir, own_columns, stored, table, utf8, written
 from palimpsest.llm.components import components
 
 RADIUS = 2
 WORDS = 3
-#: Members up to which a shard keeps one tree.
-SHARD = 16384
+#: Members of a shard on average, and up to which it keeps one tree.
+TREE, SHARD = 512, 16384
+#: Rows that hold one fingerprint from which on they are not gathered to be joined.
+HOT = 1000
 #: Shingles hashed at a time, and pairs of query and node followed at a time.
 PIECE, FRONT = 1 << 16, 1 << 18
 
@@ -94,6 +95,17 @@ class BKForest:
         order = np.argsort(slot, kind="stable")
         self.slot, self.child = slot[order], np.concatenate(children or [none])[order]
 
+    def within(self, x: np.uint64, radius: int) -> np.ndarray:
+        """Of a forest of one tree the members within the radius of a fingerprint."""
+        out, node = [], self.root[:1]
+        while len(node):
+            d = np.bitwise_count(self.key[node] ^ x).astype(np.int64)
+            out.append(node[d <= radius])
+            lo = np.searchsorted(self.slot, node * 65 + np.maximum(d - radius, 0))
+            many = np.searchsorted(self.slot, node * 65 + np.minimum(d + radius, 64), side="right") - lo
+            node = self.child[np.repeat(lo - np.cumsum(many) + many, many) + np.arange(many.sum())]
+        return np.concatenate(out) if out else np.zeros(0, np.int64)
+
     def pairs(self, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Pairs (member, member found) within the radius, in pieces; each member searches its shard's tree."""
         for at in range(0, len(self.key), FRONT):
@@ -144,87 +156,110 @@ def spanning_links(shard: np.ndarray, key: np.ndarray, radius: int) -> tuple[np.
     return key[order[far]], key[order[top[far]]]
 
 
-def _shard_links(rows: DataFrame, radius: int, on: list[str]) -> DataFrame:
-    """``u, v`` links from rows that hold shard columns and ``fp``; a shard is searched in one task."""
+def _shard_links(rows: DataFrame, radius: int) -> DataFrame:
+    """``u, v`` links from rows ``shard, fp``; a shard is searched in one task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
         size = 0
 
         def out(block: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-            cols = np.concatenate([x for x, _ in block])
-            fp = np.concatenate([y for _, y in block])
-            change = np.r_[True, (cols[1:] != cols[:-1]).any(1)]
-            u, v = spanning_links(np.cumsum(change), fp.view(np.uint64), radius)
+            shard, fp = (np.concatenate([x[i] for x in block]) for i in range(2))
+            u, v = spanning_links(shard, fp.view(np.uint64), radius)
             return pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(v.view(np.int64))], ["u", "v"])
 
         for b in batches:
             if not b.num_rows:
                 continue
-            cols = np.stack([b.column(c).to_numpy() for c in on], axis=1)
-            fp = b.column("fp").to_numpy()
+            shard, fp = b.column("shard").to_numpy(), b.column("fp").to_numpy()
             # Whole shards only: what the last shard of this batch has may go on in the next.
-            start = np.flatnonzero((cols != cols[-1]).any(1))
+            start = np.flatnonzero(shard != shard[-1])
             cut = int(start[-1]) + 1 if len(start) else 0
             if cut and size + cut >= SHARD:
-                yield out([*held, (cols[:cut], fp[:cut])])
+                yield out([*held, (shard[:cut], fp[:cut])])
                 held, size = [], 0
-                cols, fp = cols[cut:], fp[cut:]
-            held.append((cols, fp))
+                shard, fp = shard[cut:], fp[cut:]
+            held.append((shard, fp))
             size += len(fp)
         if held:
             yield out(held)
 
-    dealt = rows.repartition(*on).sortWithinPartitions(*on, "fp")
-    return dealt.mapInArrow(run, "u long, v long")
-
-
-def _bits(fp: Column, masks: list[int]) -> Column:
-    """An array with the number of each mask and what the mask leaves of ``fp``."""
-    signed = [m - (1 << 64) if m >> 63 else m for m in masks]
-    return F.array(*[F.struct(F.lit(i).cast("long").alias("i"), fp.bitwiseAND(F.lit(m).cast("long")).alias("b")) for i, m in enumerate(signed)])
-
-
-def _masks(blocks: list[int]) -> list[int]:
-    return [a | b for a, b in combinations(blocks, 2)]
-
-
-def links(distinct: DataFrame, radius: int = RADIUS, shard: int = SHARD) -> DataFrame:
-    """Links between the distinct fingerprints ``fp`` of a table, spanning each near group; radius at most 2."""
-    if not 0 <= radius <= 2:
-        raise ValueError("blocks are laid out for a radius up to 2")
-    blocks = [0xFFFF << (16 * i) for i in range(4)]
-    dealt = distinct.select("fp", F.explode(_bits(F.col("fp"), _masks(blocks))).alias("s")).select("fp", F.col("s.i").alias("i"), F.col("s.b").alias("b"))
-    dealt = written(dealt, "shards")
-    sizes = dealt.groupBy("i", "b").agg(F.count("*").alias("n")).where(F.col("n") > shard)
-    hot = written(sizes.select("i", "b"), "hot-shards")
-    cool = dealt.join(hot, ["i", "b"], "left_anti")
-    # The pair of blocks that a hot shard shares is settled; the other two split into four of 8 bits.
-    finer = None
-    for i, (p, q) in enumerate(combinations(range(4), 2)):
-        free = [0xFF << (16 * k + 8 * half) for k in range(4) if k not in (p, q) for half in range(2)]
-        part = dealt.where(F.col("i") == i).join(hot, ["i", "b"], "left_semi")
-        part = part.select("fp", "i", "b", F.explode(_bits(F.col("fp"), _masks(free))).alias("s"))
-        finer = part if finer is None else finer.unionByName(part)
-    finer = finer.select("fp", "i", "b", F.col("s.i").alias("j"), F.col("s.b").alias("c"))
-    return _shard_links(cool, radius, ["i", "b"]).union(_shard_links(finer, radius, ["i", "b", "j", "c"]))
+    return rows.repartition("shard").sortWithinPartitions("shard", "fp").mapInArrow(run, "u long, v long")
+
+
+def blocks_of(free: int, width: int, count: int) -> list[int]:
+    """``count`` disjoint masks of ``width`` of the bits ``free``."""
+    bits = [i for i in range(64) if free >> i & 1]
+    return [sum(1 << x for x in bits[i * width : (i + 1) * width]) for i in range(count)]
+
+
+def _signed(mask: int) -> int:
+    return mask - (1 << 64) if mask >> 63 else mask
+
+
+def links(distinct: DataFrame, radius: int = RADIUS, shard: int = SHARD, tree: int = TREE) -> DataFrame:
+    """Links between the distinct fingerprints ``fp`` of a table, spanning each near group; written, so that nothing is searched twice."""
+    spark, count = distinct.sparkSession, radius + 1
+    total = distinct.count()
+    width, free = max(1, min(64 // count, round(math.log2(max(2, total / tree))))), 64
+    rest = distinct.select("fp", F.lit(0).cast("long").alias("shard"), F.lit(0).cast("long").alias("used"))
+    masks, done, folders = [0], [], []
+    while True:
+        # What a fingerprint shares with its shard so far is its bits under ``used``; each way to get there has blocks of its own.
+        ways = {m: blocks_of(~m & (1 << 64) - 1, width, count) for m in masks}
+        block = None
+        for m, found in ways.items():
+            new = F.array(*[F.struct(F.xxhash64("shard", F.lit(i), F.col("fp").bitwiseAND(F.lit(_signed(b)).cast("long"))).alias("shard"), F.lit(_signed(m | b)).cast("long").alias("used")) for i, b in enumerate(found)])
+            at = F.col("used") == F.lit(_signed(m)).cast("long")
+            block = F.when(at, new) if block is None else block.when(at, new)
+        dealt, path = stored(rest.select("fp", F.explode(block).alias("s")).select("fp", "s.shard", "s.used"), "shards")
+        folders.append(path)
+        sizes, path = stored(dealt.groupBy("shard").agg(F.count("*").alias("n")).where(F.col("n") > shard).select("shard"), "hot-shards")
+        folders.append(path)
+        free -= width
+        # So few free bits cannot make more members than a tree may have.
+        if 1 << free <= SHARD or sizes.isEmpty():
+            done.append(dealt.select("shard", "fp"))
+            break
+        done.append(dealt.join(sizes, "shard", "left_anti").select("shard", "fp"))
+        rest = dealt.join(sizes, "shard", "left_semi")
+        masks = sorted({m | b for m, found in ways.items() for b in found})
+        width = min(free // count, free - 1)
+    out = done[0]
+    for more in done[1:]:
+        out = out.unionByName(more)
+    found = written(_shard_links(out, radius), "near-links")
+    delete_dir(spark, *folders)
+    return found
+
+
+def join_classes(rows: DataFrame, classes: DataFrame, key: str, most: int = HOT, parts: int = 100_000) -> DataFrame:
+    """``rows`` with the columns of ``classes``, which has one row for each ``key`` and the number ``n`` of rows that hold it.
+
+    Keys that over ``most`` rows hold, and over one row in ``parts``, are fewer than ``parts``; they are broadcast, and their rows stay where they are.
+    """
+    total = classes.agg(F.sum("n")).first()[0] or 0
+    hot = F.col("n") > max(most, total // parts)
+    loud = F.broadcast(classes.where(hot).drop("n"))
+    near = rows.join(loud, key)
+    rest = rows.join(F.broadcast(classes.where(hot).select(key)), key, "left_anti")
+    return near.unionByName(rest.join(classes.where(~hot).drop("n"), key))
 
 
 def near_groups(docs: DataFrame, words: int = WORDS, radius: int = RADIUS) -> DataFrame:
     """``doc_id, fp, component_id`` of each document."""
     prints = written(fingerprints(docs, words), "fingerprints")
-    distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
-    distinct = written(distinct, "distinct-fingerprints")
+    distinct = written(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n")), "distinct-fingerprints")
     roots = components(links(distinct.select("fp"), radius))
-    named = distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
+    named = distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "first_id", "n", F.coalesce("root", "fp").alias("root"))
     named = written(named, "near-classes")
-    lowest = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    classes = named.join(lowest, "root").select("fp", "component_id")
-    return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
+    lowest = written(named.groupBy("root").agg(F.min("first_id").alias("component_id"), F.count("*").alias("n")), "near-roots")
+    classes = written(join_classes(named.withColumnRenamed("n", "rows"), lowest, "root").select("fp", "component_id", F.col("rows").alias("n")), "classes")
+    return join_classes(prints, classes, "fp").select("doc_id", "fp", "component_id")
 
 
 def one_of_each(docs: DataFrame, words: int = WORDS, radius: int = RADIUS) -> DataFrame:
-    """The documents without near copies: whole rows of the smallest doc_id of each group.
+    """The documents without near copies by fingerprint: whole rows of the smallest doc_id of each group.
 
     Of rows that repeat this id, the first by text and then by a hash of the row stays. Rows without an id
     cannot be chosen by one: they stay, once for each text.

@@ -21,6 +21,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
@@ -58,6 +59,7 @@ def stems(word: str) -> list[str]:
 
 _UPPER = bytes(range(65, 91))
 _LETTERS = _UPPER + bytes(range(97, 123))
+_ENDS = punctuation.replace("_", "")
 _MARKS = bytes(c for c in range(33, 127) if c not in _LETTERS and not 48 <= c <= 57)
 # What a word is, as bits: in the seed list, learnt, only in lexicons once symbols are read as letters, second person, with symbols inside, all capitals.
 SEED, LEARNT, HIDDEN, ADDRESS, MASKED, SHOUTED = 1, 2, 4, 8, 16, 32
@@ -78,8 +80,9 @@ class Lexicon:
 
     def look(self, word: str) -> int:
         """Bits of a word, the number of its entry and that of its longest learnt stem, in one integer."""
-        b = bare(word)
-        bits = MASKED if _MASKED.search(word) else 0
+        core = word.strip(_ENDS)
+        # Letters alone between marks need no pattern.
+        b, bits = (core.lower(), 0) if core.isalpha() else (bare(word), MASKED if _MASKED.search(word) else 0)
         if bits and b not in self.number:
             plain = b.translate(_LEET)
             if plain in SEEDS or self.learnt.get(plain, 0.0) > 1.0:
