@@ -17,6 +17,9 @@ from pyspark.sql import functions as F
 #: White space of the word pattern ``[^\x20\x09-\x0D]+``; ``bytes.split()`` splits on exactly these.
 WORD_GAP = r"[\x20\x09-\x0D]+"
 
+#: Rows of one key up to which they are gathered to be joined.
+HOT = 1000
+
 _own: dict[str, str] = {}
 _kept: set[str] = set()
 
@@ -99,6 +102,19 @@ def first_by_hash(df: DataFrame, key: str, n: int) -> DataFrame:
     return keys.distinct().orderBy(hash_, key).limit(n)
 
 
+def join_classes(rows: DataFrame, classes: DataFrame, key: str, most: int = HOT, parts: int = 100_000) -> DataFrame:
+    """``rows`` with the columns of ``classes``, which has one row for each ``key`` and the number ``n`` of rows that hold it.
+
+    Keys that over ``most`` rows hold, and over one row in ``parts``, are fewer than ``parts``; they are broadcast, and their rows stay where they are.
+    """
+    total = classes.agg(F.sum("n")).first()[0] or 0
+    hot = F.col("n") > max(most, total // parts)
+    loud = F.broadcast(classes.where(hot).drop("n"))
+    near = rows.join(loud, key)
+    rest = rows.join(F.broadcast(classes.where(hot).select(key)), key, "left_anti")
+    return near.unionByName(rest.join(classes.where(~hot).drop("n"), key))
+
+
 def spans(size: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
     """Runs of neighbouring rows of at most ``most`` bytes together, given the bytes of each; a larger row is a run of its own."""
     ends = np.cumsum(size)

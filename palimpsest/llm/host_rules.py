@@ -1,8 +1,9 @@
 r"""Quality rules with a verdict per host.
 
 Counts of each text decide its own failures; failures are counted per host, a host's rate is
-shrunk towards the mean of all hosts by a beta prior fitted to the hosts' rates (method of moments), and a host whose shrunk rate is above
-``most_failures`` is condemned with all its documents. Verdicts are joined back.
+shrunk towards the mean of all hosts by a beta prior fitted to the hosts' rates (method of moments), and a host is condemned with all its documents if
+its shrunk rate is above the prior's mean by ``FAR`` of the prior's standard deviations (a host in a hundred, were they normal) and above ``TIMES`` the
+mean, so that hosts that differ by chance, or by little, stay; above ``MOST_FAILURES`` it is condemned whatever the others are like. Verdicts are joined back.
 
 Counts: word_chars (code points in words ``[^\x20\x09-\x0D]+``), n_symbols (characters of ``[#*$%&|<>]``), n_dup_lines (lines with a word
 that equal an earlier one), n_repeat_words (words in three-word windows that occur twice or more).
@@ -13,6 +14,7 @@ count each; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,11 +22,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palimpsest.llm.common import own_columns, table, utf8, written
+from palimpsest.llm.common import join_classes, own_columns, table, utf8, written
 
 LEAST_WORDS, MOST_REPEATED = 50, 50
-#: A host above this shrunk rate of failing documents is condemned.
-MOST_FAILURES = 0.8
+#: A condemned host's distance from the prior's mean in standard deviations, and in multiples of the mean; a shrunk rate that always condemns.
+FAR, TIMES, MOST_FAILURES = 2.326, 2.0, 0.8
 _SYMBOLS = b"#*$%&|<>"
 _NO_SYMBOLS = bytes(c for c in range(256) if c not in _SYMBOLS)
 _CONTINUED = bytes(range(0x80, 0xC0))
@@ -80,8 +82,8 @@ def rule_failures() -> Column:
     return sum((x.cast("int") for x in (symbols, lines, length)), base_failed().cast("int"))
 
 
-def host_verdicts(counted: DataFrame, most_failures: float = MOST_FAILURES) -> DataFrame:
-    """``host, n_docs, n_failed, rate`` (shrunk) and ``condemned`` of each host of a table with ``host, failures``."""
+def host_verdicts(counted: DataFrame, far: float = FAR, times: float = TIMES, most_failures: float = MOST_FAILURES) -> DataFrame:
+    """``host, n_docs, n_failed, rate`` (shrunk), ``bar`` and ``condemned`` of each host of a table with ``host, failures``."""
     hosts = written(counted.groupBy("host").agg(F.count("*").alias("n_docs"), F.count_if(F.col("failures") > 0).alias("n_failed")), "hosts")
     rate = F.col("n_failed") / F.col("n_docs")
     # One row of sums over hosts: the mean rate, and the variance of rates beyond what the counts' own chance gives.
@@ -91,16 +93,19 @@ def host_verdicts(counted: DataFrame, most_failures: float = MOST_FAILURES) -> D
     chance = mean * (1 - mean) * (s[5] or 0.0) / k if k else 0.0
     between = max(spread - chance, 1e-6)
     weight = max(1.0, mean * (1 - mean) / between - 1)
+    bar = min(most_failures, max(mean + far * math.sqrt(mean * (1 - mean) / (weight + 1)), times * mean))
     shrunk = (F.col("n_failed") + F.lit(mean * weight)) / (F.col("n_docs") + F.lit(weight))
-    return hosts.withColumn("rate", shrunk).withColumn("condemned", F.col("rate") > most_failures)
+    return hosts.withColumn("rate", shrunk).withColumn("bar", F.lit(bar)).withColumn("condemned", F.col("rate") > bar)
 
 
-def judge_documents(docs: DataFrame, host: str = "source", most_failures: float = MOST_FAILURES) -> DataFrame:
+def judge_documents(docs: DataFrame, host: str = "source", far: float = FAR, times: float = TIMES, most_failures: float = MOST_FAILURES) -> DataFrame:
     """The counts of each document with ``base_failed``, ``failures``, its host's ``rate`` and ``kept``."""
     counted = written(document_counts(docs, host).withColumn("base_failed", base_failed()).withColumn("failures", rule_failures()), "counts")
-    verdicts = host_verdicts(counted, most_failures).withColumnRenamed("host", "of")
-    judged = counted.join(verdicts.select("of", "rate", "condemned"), F.col("host").eqNullSafe(F.col("of")), "left")
-    return judged.withColumn("kept", ~F.col("base_failed") & ~F.coalesce("condemned", F.lit(False)))
+    # A key that tells a null host from any other.
+    key = F.when(F.col("host").isNotNull(), F.concat(F.lit("h"), F.col("host").cast("string"))).otherwise("").alias("key")
+    verdicts = written(host_verdicts(counted, far, times, most_failures).select(key, F.col("n_docs").alias("n"), "rate", "condemned"), "verdicts")
+    judged = join_classes(counted.select("*", key), verdicts, "key").drop("key")
+    return judged.withColumn("kept", ~F.col("base_failed") & ~F.col("condemned"))
 
 
 def op8_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,7 +131,7 @@ v AS (SELECT *, base_failed OR 10 * n_symbols > n_words OR 20 * n_dup_lines > n_
 h AS (SELECT source, count(*) AS n, count_if(failed) AS k FROM v GROUP BY source),
 m AS (SELECT sum(k) / sum(n) AS mean, avg((k / n) * (k / n)) - avg(k / n) * avg(k / n) AS spread, avg(1 / n) AS chance FROM h),
 p AS (SELECT mean, greatest(1.0, mean * (1 - mean) / greatest(greatest(0.0, spread) - mean * (1 - mean) * chance, 1e-6) - 1) AS weight FROM m),
-b AS (SELECT source, (k + mean * weight) / (n + weight) > 0.8 AS condemned FROM h, p)
+b AS (SELECT source, (k + mean * weight) / (n + weight) > least(0.8, greatest(mean + 2.326 * sqrt(mean * (1 - mean) / (weight + 1)), 2 * mean)) AS condemned FROM h, p)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT condemned AS kept
 FROM v JOIN b ON v.source IS NOT DISTINCT FROM b.source
 """

@@ -27,15 +27,13 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from palimpsest.llm.common import delete_dir, own_columns, stored, table, utf8, written
+from palimpsest.llm.common import delete_dir, join_classes, own_columns, stored, table, utf8, written
 from palimpsest.llm.components import components
 
 RADIUS = 2
 WORDS = 3
 #: Members of a shard on average, and up to which it keeps one tree.
 TREE, SHARD = 512, 16384
-#: Rows that hold one fingerprint from which on they are not gathered to be joined.
-HOT = 1000
 #: Shingles hashed at a time, and pairs of query and node followed at a time.
 PIECE, FRONT = 1 << 16, 1 << 18
 
@@ -233,19 +231,6 @@ def links(distinct: DataFrame, radius: int = RADIUS, shard: int = SHARD, tree: i
     return found
 
 
-def join_classes(rows: DataFrame, classes: DataFrame, key: str, most: int = HOT, parts: int = 100_000) -> DataFrame:
-    """``rows`` with the columns of ``classes``, which has one row for each ``key`` and the number ``n`` of rows that hold it.
-
-    Keys that over ``most`` rows hold, and over one row in ``parts``, are fewer than ``parts``; they are broadcast, and their rows stay where they are.
-    """
-    total = classes.agg(F.sum("n")).first()[0] or 0
-    hot = F.col("n") > max(most, total // parts)
-    loud = F.broadcast(classes.where(hot).drop("n"))
-    near = rows.join(loud, key)
-    rest = rows.join(F.broadcast(classes.where(hot).select(key)), key, "left_anti")
-    return near.unionByName(rest.join(classes.where(~hot).drop("n"), key))
-
-
 def near_groups(docs: DataFrame, words: int = WORDS, radius: int = RADIUS) -> DataFrame:
     """``doc_id, fp, component_id`` of each document."""
     prints = written(fingerprints(docs, words), "fingerprints")
