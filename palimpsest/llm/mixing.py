@@ -7,11 +7,11 @@ demand. A source's documents stand in an order fixed by a hash, pass after pass;
 word is the k-th of that stream gets the time at which the demand reaches k, by inverting the integral. Copies
 past the target are not taken. Documents are range-sorted by time.
 
-The hash range is cut into cells of about a thousand documents; sums of cells give each cell its
-offset, so no source is gathered in a task, however many rows it has.
+The hash range is cut into cells of about a thousand documents, and these are gathered into runs of about a thousand cells; sums of runs and
+of cells give each cell its offset, so no source is gathered in a task, however many rows it has. One row per source goes through one task for the targets.
 
 Defined results: a null or empty text has size 0 and is never worth a word; null is a source of its own, the last;
-repeated rows are documents of their own; equal hashes are ordered by doc_id and size; an empty table gives
+repeated rows are documents of their own; equal hashes are ordered by doc_id, size and a hash of all columns; an empty table gives
 no rows; other columns are kept by ``training_order`` (clashing names included) and ignored by ``op3``.
 """
 
@@ -32,8 +32,8 @@ SCHEDULES: tuple[tuple[tuple[float, float], ...], ...] = (
     ((0.0, 1.0), (1.0, 1.0)),
     ((0.0, 0.25), (0.5, 1.0), (1.0, 1.75)),
 )
-#: Documents in a cell, about.
-CELL = 1024
+#: Documents in a cell, about, and cells in a run.
+CELL, RUN = 1024, 1024
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -83,52 +83,66 @@ def invert(share: Column, kind: Column, schedules: Sequence[Sequence[tuple[float
     return out
 
 
-def _plan(docs: DataFrame, weights: Sequence[float], passes: int, seed: int) -> DataFrame:
-    """``docs`` with a struct ``__mix``: size, source_size, kind, target, hash and the times of the copies taken."""
+def _sized(docs: DataFrame, seed: int) -> DataFrame:
+    """The columns of ``docs`` as c0, c1, ..., with what a plan needs of each row: named, source, size, hash, tie and cell."""
     cells = max(1, -(-docs.count() // CELL))
-    hash_ = F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text"))
-    cell = F.floor((F.col("__hash").cast("double") / 2.0**64 + 0.5) * cells).cast("long")
-    rows = docs.withColumn("__size", word_count(F.col("text"))).withColumn("__hash", hash_).withColumn("__cell", cell)
-    rows = rows.withColumn("__named", F.col("source").isNotNull()).withColumn("__source", F.coalesce(F.col("source").cast("string"), F.lit("")))
-    key = ["__source", "__named", "__cell"]
-    sums = written(rows.groupBy(*key).agg(F.sum("__size").alias("n"), F.count("*").alias("rows")), "cells")
-    source = F.when(F.col("__named"), F.col("__source"))
-    sizes = sums.groupBy(source.alias("source")).agg(F.sum("n").alias("source_size"))
+    names = docs.columns
+    rows = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)])
+    id_, source, text = (F.col(f"c{names.index(c)}") for c in ("doc_id", "source", "text"))
+    hash_ = F.xxhash64(F.lit(seed), id_, text)
+    return rows.select(
+        "*",
+        source.isNotNull().alias("named"),
+        F.coalesce(source.cast("string"), F.lit("")).alias("source"),
+        id_.alias("id"),
+        word_count(text).alias("size"),
+        hash_.alias("hash"),
+        F.xxhash64(*rows.columns).alias("tie"),
+        F.floor((hash_.cast("double") / 2.0**64 + 0.5) * cells).cast("long").alias("cell"),
+    )
+
+
+def _offsets(sums: DataFrame) -> DataFrame:
+    """``source, named, cell`` and the words of the source's cells before it; two levels of sums, so that a task has a run of cells at most."""
+    key = ["source", "named"]
+    run = F.floor(F.col("cell") / RUN)
+    before = lambda by, order: F.coalesce(F.sum("n").over(Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    runs = sums.groupBy(*key, run.alias("run")).agg(F.sum("n").alias("n"))
+    runs = runs.select(*key, "run", before(key, "run").alias("runs_before"))
+    cells = sums.withColumn("run", run).withColumn("cells_before", before([*key, "run"], "cell"))
+    return cells.join(runs, [*key, "run"]).select(*key, "cell", (F.col("runs_before") + F.col("cells_before")).alias("offset"))
+
+
+def _plan(rows: DataFrame, weights: Sequence[float], passes: int) -> DataFrame:
+    """Rows of ``_sized`` with source_size, kind, target and the times of the copies taken."""
+    key = ["source", "named", "cell"]
+    sums = written(rows.groupBy(*key).agg(F.sum("size").alias("n")), "cells")
+    sizes = sums.groupBy(F.when(F.col("named"), F.col("source")).alias("source")).agg(F.sum("n").alias("source_size"))
     goals = written(targets(sizes, weights, passes), "targets")
-    earlier = Window.partitionBy("__source", "__named").orderBy("__cell").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select(*key, F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("__offset"))
-    goals = goals.select(F.coalesce("source", F.lit("")).alias("__source"), F.col("source").isNotNull().alias("__named"), *[F.col(c).alias(f"__{c}") for c in ("source_size", "kind", "target")])
-    offsets = offsets.join(goals, ["__source", "__named"])
-    inside = Window.partitionBy(*key).orderBy("__hash", "doc_id", "__size").rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.join(offsets, key).withColumn("__before", F.coalesce(F.sum("__size").over(inside), F.lit(0)) + F.col("__offset"))
-    middle = F.col("__before") + F.col("__size") / 2
-    at = F.transform(F.sequence(F.lit(0), F.lit(passes - 1)), lambda p: p * F.col("__source_size") + middle)
-    at = F.filter(at, lambda m: m < F.col("__target"))
-    times = F.transform(at, lambda m: invert(m / F.col("__target"), F.col("__kind")))
-    mix = F.struct(*[F.col(f"__{c}").alias(c) for c in ("size", "source_size", "kind", "target", "hash")], times.alias("times"))
-    return rows.select(*[F.col(f"`{c}`") for c in docs.columns], mix.alias("__mix"))
+    goals = goals.select(F.coalesce("source", F.lit("")).alias("source"), F.col("source").isNotNull().alias("named"), "source_size", "kind", "target")
+    offsets = written(_offsets(sums).join(goals, ["source", "named"]), "offsets")
+    inside = Window.partitionBy(*key).orderBy("hash", "id", "size", "tie").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.join(offsets, key).withColumn("before", F.coalesce(F.sum("size").over(inside), F.lit(0)) + F.col("offset"))
+    middle = F.col("before") + F.col("size") / 2
+    at = F.transform(F.sequence(F.lit(0), F.lit(passes - 1)), lambda p: p * F.col("source_size") + middle)
+    at = F.filter(at, lambda m: m < F.col("target"))
+    return rows.withColumn("times", F.transform(at, lambda m: invert(m / F.col("target"), F.col("kind"))))
 
 
 def mix_documents(docs: DataFrame, weights: Sequence[float] = WEIGHTS, passes: int = PASSES, seed: int = 17) -> DataFrame:
     """``doc_id, source, size, source_size, target, taken, times``, range-sorted by the first time; untaken documents come last."""
-    planned = _plan(own_columns(docs, "doc_id", "source", "text"), weights, passes, seed)
-    out = planned.select(
-        "doc_id",
-        "source",
-        F.col("__mix.size").alias("size"),
-        F.col("__mix.source_size").alias("source_size"),
-        F.col("__mix.target").alias("target"),
-        (F.col("__mix.size") * F.size("__mix.times")).alias("taken"),
-        F.col("__mix.times").alias("times"),
-        F.col("__mix.hash").alias("hash"),
-    )
-    return out.orderBy(F.get("times", F.lit(0)).asc_nulls_last(), "hash").drop("hash")
+    names = ["doc_id", "source", "text"]
+    # Texts are counted once; the rest is done on numbers.
+    slim = written(_sized(own_columns(docs, *names), seed).drop("c2"), "sizes")
+    planned = _plan(slim, weights, passes)
+    out = planned.select(F.col("c0").alias("doc_id"), F.col("c1").alias("source"), "size", "source_size", "target", (F.col("size") * F.size("times")).alias("taken"), "times", "hash", "tie")
+    return out.orderBy(F.get("times", F.lit(0)).asc_nulls_last(), "hash", "tie").drop("hash", "tie")
 
 
 def training_order(docs: DataFrame, weights: Sequence[float] = WEIGHTS, passes: int = PASSES, seed: int = 17) -> DataFrame:
     """A whole row of ``docs`` per copy taken, range-sorted by its training time."""
-    planned = _plan(docs, weights, passes, seed).withColumn("__time", F.explode("__mix.times"))
-    return planned.orderBy("__time", "__mix.hash").select(*[F.col(f"`{c}`") for c in docs.columns])
+    planned = _plan(_sized(docs, seed), weights, passes).withColumn("time", F.explode("times"))
+    return planned.orderBy("time", "hash", "tie").select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
