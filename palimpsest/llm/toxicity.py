@@ -269,9 +269,10 @@ def score_documents(docs: DataFrame, model: ToxicityModel) -> DataFrame:
 
 def without_toxic(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that score below ``threshold``, in its columns."""
-    slim = docs.select(*[F.col(f"`{c}`").alias(f"own_{c}" if c == "score" else c) for c in docs.columns])
+    names = [c if c == "text" else f"c{i}" for i, c in enumerate(docs.columns)]
+    slim = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names, strict=True)])
     kept = score_documents(slim, model).where(F.col("score") < threshold)
-    return kept.select(*[F.col(f"`own_{c}`" if c == "score" else f"`{c}`").alias(c) for c in docs.columns])
+    return kept.select(*[F.col(n).alias(c) for c, n in zip(docs.columns, names, strict=True)])
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

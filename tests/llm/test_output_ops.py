@@ -248,26 +248,3 @@ def test_url_trees_learn_and_agree_with_numpy(spark):
 def test_url_plan_is_native(spark):
     plan = url_filter.op10_url_filter(spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
-
-
-# -- pipeline
-
-
-def test_pipeline(spark):
-    import corpus_pipeline
-    from palimpsest.llm import decontaminate, simhash, toxicity
-    from palimpsest.llm.common import written
-
-    docs = table(spark, SF, "documents")
-    steps = [docs]
-    for name, stage in corpus_pipeline.STAGES:
-        steps.append(written(stage(spark, steps[-1], SF), f"test-{name}"))
-    ids = lambda df: sorted(r["doc_id"] for r in df.select("doc_id").collect())
-    assert all(s.columns == docs.columns for s in steps[:5])
-    model = toxicity.fit_toxicity(docs, table(spark, SF, "labels"))
-    assert ids(steps[1]) == sorted(r["doc_id"] for r in toxicity.score_documents(docs, model).where("score < 0.7").collect())
-    groups = simhash.near_groups(steps[1]).collect()
-    assert ids(steps[2]) == sorted({r["component_id"] for r in groups})
-    assert ids(steps[3]) == sorted(r["doc_id"] for r in decontaminate.with_matches(steps[2], table(spark, SF, "benchmark")).where("n_items = 0").collect())
-    assert set(ids(steps[4])) <= set(ids(steps[3])) and ids(steps[5]) == ids(steps[4])
-    assert sorted(map(tuple, corpus_pipeline.run(spark, SF).collect())) == sorted(map(tuple, steps[5].collect()))
