@@ -1,7 +1,7 @@
 r"""Chat formatting with Spark expressions only.
 
-A conversation's turns are collected as structs in bounded slices, sorted, and adjacent turns
-of one role are merged by an array aggregation; slices are then joined and concatenated.
+A conversation's turns are collected as structs in slices by turn number, sorted, and adjacent turns
+of one role are merged by an array aggregation over bounded pieces; slices are then joined and concatenated.
 
 The template, with the role and every text escaped::
 
@@ -64,7 +64,10 @@ def format_conversations(turns: DataFrame, loss_role: str = "assistant", slice_t
         return F.when((F.size(acc) > 0) & (F.try_element_at(acc, F.lit(-1))["role"] == t["role"]), merged).otherwise(F.concat(acc, alone))
 
     slices = rows.groupBy("conv_id", "slice").agg(turn_list.alias("turns"))
-    slices = slices.select("conv_id", "slice", F.aggregate("turns", no_blocks, fold).alias("blocks"))
+    # Null or repeated numbers can make a slice of any size; a fold has a slice's worth of turns all the same.
+    cuts = F.sequence(F.lit(1), F.size("turns"), F.lit(slice_turns))
+    folded = F.transform(cuts, lambda at: F.aggregate(F.slice("turns", at, F.lit(slice_turns)), no_blocks, fold))
+    slices = slices.select("conv_id", "slice", F.flatten(folded).alias("blocks"))
     whole = slices.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("slice", "blocks"))).alias("s"))
     whole = whole.select("conv_id", F.flatten(F.col("s.blocks")).alias("blocks"))
 
