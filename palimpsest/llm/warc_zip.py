@@ -23,7 +23,7 @@ import json
 import struct
 import zipfile
 from collections.abc import Iterator
-from urllib.parse import quote
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -36,7 +36,7 @@ from palimpsest.llm.common import new_dir, own_columns, table, utf8, written
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 #: Payload bytes after which a task begins the next package.
 PACKAGE = 256 << 20
-PAGE = "urn:x-page:"
+PAGE, NO_PAGE = "urn:x-page:", "urn:x-no-page"
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "1970-01-01T00:00:00Z"
 
@@ -45,15 +45,24 @@ def payload_digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def warc_record(page: str, url: str | None, payload: bytes, refers_to: str | None = None, date: str = DATE) -> bytes:
+def _named(page: str | None) -> str:
+    return NO_PAGE if page is None else PAGE + quote(page, safe="")
+
+
+def _page(told: str | None) -> str | None:
+    name = (told or "").strip("<>")
+    return unquote(name.removeprefix(PAGE)) if name.startswith(PAGE) else None
+
+
+def warc_record(page: str | None, url: str | None, payload: bytes, refers_to: str | None = None, date: str = DATE) -> bytes:
     """A response record, or a revisit (HTTP header only) if ``refers_to`` names a page."""
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
-    head = {"WARC-Type": "response" if refers_to is None else "revisit", "WARC-Record-ID": f"<{PAGE}{page}>", "WARC-Date": date}
+    head = {"WARC-Type": "response" if refers_to is None else "revisit", "WARC-Record-ID": f"<{_named(page)}>", "WARC-Date": date}
     if url is not None:
         head["WARC-Target-URI"] = quote(url, safe="".join(map(chr, range(0x21, 0x7F))))
     head["WARC-Payload-Digest"] = f"sha1:{payload_digest(payload)}"
     if refers_to is not None:
-        head |= {"WARC-Refers-To": f"<{PAGE}{refers_to}>", "WARC-Profile": REVISIT}
+        head |= {"WARC-Refers-To": f"<{_named(refers_to)}>", "WARC-Profile": REVISIT}
     block = http + payload if refers_to is None else http
     head |= {"Content-Type": "application/http;msgtype=response", "Content-Length": str(len(block))}
     lines = "".join(f"{k}: {v}\r\n" for k, v in head.items())
@@ -105,7 +114,11 @@ class ZipDirectory:
         self.file = file
         tail_at = max(0, size - 65557)
         tail = self._read(tail_at, size - tail_at)
-        end = tail.rfind(b"PK\x05\x06")
+        # The signature can stand in the comment too: the record's comment must reach the end of the file.
+        end = len(tail)
+        while (end := tail.rfind(b"PK\x05\x06", 0, end)) >= 0:
+            if len(tail) - end >= 22 and end + 22 + struct.unpack_from("<H", tail, end + 20)[0] == len(tail):
+                break
         if end < 0:
             raise ValueError("no end of central directory")
         count, length, start = struct.unpack_from("<10xHII", tail, end)
@@ -193,7 +206,7 @@ def write_packages(pages: DataFrame, folder: str, least: int = 0) -> DataFrame:
                     fs.create_dir(root, recursive=True)
                     file = f"part-{task.partitionId():06d}-{task.taskAttemptId()}-{made}.wacz"
                     name, out, made, n = f"{folder}/{file}", PackageWriter(fs.open_output_stream(f"{root}/{file}")), made + 1, 0
-                out.add(page or "null", warc_record(page or "null", url, html, ref))
+                out.add(_named(page), warc_record(page, url, html, ref))
                 n += 1
                 if out.at >= PACKAGE:
                     yield done()
@@ -207,10 +220,6 @@ def write_packages(pages: DataFrame, folder: str, least: int = 0) -> DataFrame:
 def read_packages(packages: DataFrame, id_type: str = "long") -> DataFrame:
     """``page_id, payload_bytes, payload_digest, record_type, refers_to`` of each record."""
 
-    def page(told: str | None) -> str | None:
-        name = (told or "").strip("<>").removeprefix(PAGE)
-        return None if name in ("", "null") else name
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for uri in b.column("package").to_pylist():
@@ -220,11 +229,11 @@ def read_packages(packages: DataFrame, id_type: str = "long") -> DataFrame:
                     revisit = warc["warc-type"] == "revisit"
                     rows.append(
                         {
-                            "page": page(warc["warc-record-id"]),
+                            "page": _page(warc["warc-record-id"]),
                             "payload_bytes": int(http["content-length"]) if revisit else len(payload),
                             "payload_digest": warc["warc-payload-digest"].removeprefix("sha1:") if revisit else payload_digest(payload),
                             "record_type": warc["warc-type"],
-                            "refers": page(warc.get("warc-refers-to")),
+                            "refers": _page(warc.get("warc-refers-to")),
                         }
                     )
                     if len(rows) == 1024:
