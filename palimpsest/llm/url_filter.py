@@ -5,9 +5,9 @@ CASE expressions. Trees are fitted on the driver on at most ``sample`` labelled
 labelled URLs), which come there as numbers.
 
 Features: length, path depth, digit ratio, entropy of the characters, number of parameters, fragment, hyphens, labels of the host,
-longest path part, and the block rate of the host's last one and two labels among the labelled URLs.
+longest path part, and the block rate of the host's last one and two labels among the labelled URLs (for the trees' own rows among those of other folds).
 
-Defined results: a null url or one without ``://`` has empty host and path, no rule, and the verdict of its features; repeated
+Defined results: a null url or one without ``://`` has empty host and path, no rule, and the verdict of its features; a null page_id keeps its row; repeated
 rows are judged each; without labelled URLs of both kinds the base rate decides, allow if there are none; an empty table
 gives no rows; other columns are ignored.
 """
@@ -29,6 +29,7 @@ from palimpsest.llm.common import first_by_hash, own_columns, table
 RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
 #: Labelled URLs that the trees are fitted on at most, and suffixes with a rate of their own.
 SAMPLE, SUFFIXES = 4000, 48
+FOLDS = 4
 NAMES = ("length", "depth", "digits", "entropy", "params", "fragment", "hyphens", "labels", "longest", "tld_rate", "domain_rate")
 _COUNTED = len(NAMES) - 2
 
@@ -85,15 +86,25 @@ def _rates(suffixes: list[str], y: np.ndarray) -> tuple[dict[str, float], float]
     return {s: (blocked[s] + 5 * base) / (k + 5) for s, k in sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:SUFFIXES]}, base
 
 
+def left_out_rates(suffixes: list[str], y: np.ndarray, folds: int = FOLDS) -> np.ndarray:
+    """For each row the rate of its suffix among the rows of the other folds, so that no row's label is in its own features."""
+    fold, out = np.arange(len(y)) % folds, np.zeros(len(y))
+    for k in range(folds):
+        rates, base = _rates([s for s, f in zip(suffixes, fold, strict=True) if f != k], y[fold != k])
+        out[fold == k] = [rates.get(s, base) for s, f in zip(suffixes, fold, strict=True) if f == k]
+    return out
+
+
 class UrlModel:
     """Trees and suffix rates, as expressions over ``lexical_features``."""
 
     def __init__(self, rows: list[tuple], blocked: list[int]) -> None:
+        """Trees are fitted on rates that leave a row's own fold out; URLs are judged with the rates of all rows."""
         y = np.array(blocked, float)
-        self.tld, self.base = _rates([r[_COUNTED] or "" for r in rows], y)
-        self.domain, _ = _rates([r[_COUNTED + 1] or "" for r in rows], y)
-        x = [[*r[:_COUNTED], self.tld.get(r[_COUNTED] or "", self.base), self.domain.get(r[_COUNTED + 1] or "", self.base)] for r in rows]
-        self.trees = boosting.fit(np.array(x, float).reshape(-1, len(NAMES)), y, trees=24)
+        suffixes = [[r[_COUNTED + i] or "" for r in rows] for i in range(2)]
+        (self.tld, self.base), (self.domain, _) = (_rates(s, y) for s in suffixes)
+        x = np.array([r[:_COUNTED] for r in rows], float).reshape(-1, _COUNTED)
+        self.trees = boosting.fit(np.column_stack([x, *(left_out_rates(s, y) for s in suffixes)]), y, trees=24)
         if not len(y):
             self.trees.base = -1.0
 
@@ -125,7 +136,7 @@ def fit_urls(labelled: DataFrame, sample: int = SAMPLE) -> UrlModel:
     rows = own_columns(labelled, "url", "blocked").where("url is not null and blocked is not null").groupBy("url").agg(F.max("blocked").alias("blocked"))
     # At most ``sample`` URLs are broadcast.
     rows = rows.join(F.broadcast(first_by_hash(rows, "url", sample)), "url")
-    got = lexical_features(parse(rows)).select(*NAMES[:_COUNTED], "tld", "domain", "blocked").collect()
+    got = lexical_features(parse(rows)).orderBy(F.xxhash64("url"), "url").select(*NAMES[:_COUNTED], "tld", "domain", "blocked").collect()
     return UrlModel([tuple(r) for r in got], [int(r["blocked"]) for r in got])
 
 
