@@ -10,7 +10,7 @@ from typing import Any
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from palimpsest.functions.keys import GENERATED, require_inputs, with_generated
+from palimpsest.functions.keys import GENERATED, ID_TS, require_inputs, with_generated
 from palimpsest.functions.naming import quoted, require_identifier
 from palimpsest.sources.store import Manifest, VersionedStore
 
@@ -116,8 +116,9 @@ def _rows_stay(table: str, rows: int) -> Callable:
 def create_indexes(store: VersionedStore, table: str, indexes: Sequence[tuple[str, str]] = DEFAULT_INDEXES) -> dict[str, list]:
     """Lay a table out for lookups by the given columns.
 
-    BTREE columns order the rows inside each file, so that a scan skips row groups by their bounds; BITMAP columns have few values, for which
-    Parquet dictionaries do; LABEL_LIST columns are answered by ``label_lookup``. The layout is recorded in the manifest and applied by compaction.
+    BTREE columns order the rows inside each file, so that a scan skips row groups by their bounds, and have bloom filters; BITMAP columns have few values, for which
+    Parquet dictionaries do; LABEL_LIST columns have a table of labels beside the data that tells the buckets which hold them. The layout is recorded in the
+    manifest and applied by compaction.
     """
     have = store.manifest(table)
     done = {tuple(x) for x in have.layout.get("indexes", [])}
@@ -135,7 +136,8 @@ def create_indexes(store: VersionedStore, table: str, indexes: Sequence[tuple[st
     if created:
         every = [*done, *created]
         order = [c for c, k in every if k == "BITMAP"] + [c for c, k in every if k == "BTREE"]
-        store.set_layout(table, {"indexes": sorted(every), "sort_by": sorted(set(order), key=order.index)})
+        keyed = {"bloom": sorted({c for c, k in every if k == "BTREE"}), "labels": sorted({c for c, k in every if k == "LABEL_LIST"})}
+        store.set_layout(table, {"indexes": sorted(every), "sort_by": sorted(set(order), key=order.index), **keyed})
     return {"created": created, "skipped": skipped}
 
 
@@ -149,6 +151,17 @@ def label_lookup(df: DataFrame, column: str, labels: Sequence[str]) -> DataFrame
     return df.where(F.arrays_overlap(F.col(quoted(column)), F.array(*[F.lit(x) for x in labels])))
 
 
+def lookup_labels(store: VersionedStore, table: str, column: str, labels: Sequence[str]) -> DataFrame:
+    """Rows of a table whose array holds one of the labels; of buckets in order only those that the table of labels names are read."""
+    return label_lookup(store.read_labelled(table, column, labels), column, labels)
+
+
+def lookup_keys(store: VersionedStore, table: str, keys: Sequence[str]) -> DataFrame:
+    """Rows by their ``__id_ts``: the ids in front tell the buckets, the rest is a pushed filter."""
+    ids = store.spark.createDataFrame([(k.rpartition("#")[0],) for k in keys], "_id string")
+    return store.read_buckets(table, store.touched(table, ids)).where(F.col(ID_TS).isin(list(keys)))
+
+
 def run_parallel(spark: SparkSession, jobs: dict[str, Callable[[], Any]], concurrency: int = 4, stop_on_failure: bool = False) -> dict[str, dict[str, Any]]:
     """One job per table on driver threads, whose Spark jobs share the cluster; after a failure pending ones may be left out."""
     out: dict[str, dict[str, Any]] = {}

@@ -99,13 +99,17 @@ def merge_into(store: VersionedStore, table: str, incoming: DataFrame, seq: str
     """Merge a batch into a table of the store: buckets without an id of the batch are not read or written."""
     schema = store.schema(table)
     check_columns(table, [*schema.names, *([seq] if seq else [])], incoming.columns)
-    batch = incoming.drop(*[c for c in incoming.columns if c not in schema.names and c != seq])
-    buckets = store.touched(table, batch)
-    if not buckets:
-        return store.manifest(table)
-    existing = current_of(store.read_buckets(table, buckets), batch)
-    rows = store.aligned(plan_merge(batch, existing, seq), schema)
-    return store.upsert(table, with_null_guard(rows, schema), ID_TS, buckets)
+    # The batch is read for its buckets, for its ids and for its rows.
+    batch = incoming.drop(*[c for c in incoming.columns if c not in schema.names and c != seq]).persist()
+    try:
+        buckets = store.touched(table, batch)
+        if not buckets:
+            return store.manifest(table)
+        existing = current_of(store.read_buckets(table, buckets), batch)
+        rows = store.aligned(plan_merge(batch, existing, seq), schema)
+        return store.upsert(table, with_null_guard(rows, schema), ID_TS, buckets)
+    finally:
+        batch.unpersist()
 
 
 def empty_table_schema(app: Iterable[ColumnSpec] = ()) -> StructType:

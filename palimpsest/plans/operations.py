@@ -526,3 +526,25 @@ def q72(spark: SparkSession, d: str) -> DataFrame:
     store.overwrite("customer", rows, StructType([rows.schema["c_custkey"], StructField("note", StringType(), True)]))
     reconcile(store, "customer", {"properties": {"note": NUMBER}})
     return store.read("customer").select("c_custkey", "note", F.lit(store.count("customer") == store.count("customer", 1)).alias("kept"))
+
+
+# -- lookups
+
+@query("q73_label_table_lookup", "SELECT doc_id, lang FROM documents WHERE list_has_any(string_split(text, ' '), ['the', 'der'])")
+def q73(spark: SparkSession, d: str) -> DataFrame:
+    """Rows by labels through the table of labels beside the data."""
+    store = _store(spark, 8)
+    store.overwrite("documents", table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("_id"), "doc_id", "lang", F.split("text", " ").alias("labels")))
+    jobs.create_indexes(store, "documents", [("labels", "LABEL_LIST")])
+    store.compact("documents")
+    return jobs.lookup_labels(store, "documents", "labels", ["the", "der"]).select("doc_id", "lang")
+
+
+@query("q74_key_lookup", "SELECT _id, _ts, value FROM (SELECT CAST(user_id AS VARCHAR) AS _id, event_id AS _ts, value FROM events) WHERE _ts IN (1, 77, 400, 999)")
+def q74(spark: SparkSession, d: str) -> DataFrame:
+    """Versions by their keys: only the keys' buckets are read."""
+    store, log = _store(spark, 8), event_log(spark, d)
+    rows = log.withColumn("__id_ts", F.concat("_id", F.lit("#"), F.col("_ts").cast("string")))
+    store.overwrite("log", rows)
+    wanted = [r[0] for r in rows.where("_ts in (1, 77, 400, 999)").select("__id_ts").collect()]
+    return jobs.lookup_keys(store, "log", [*wanted, "none#1"]).select("_id", "_ts", "value")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from typing import Any
 
@@ -53,114 +54,103 @@ def struct_of(specs: list[ColumnSpec]) -> StructType:
     return StructType([s.field() for s in specs])
 
 
-def _note(schema: JsonSchema) -> str | None:
-    """A vendor annotation (``x-...``) that tells more than the JSON type."""
-    told = {v for k, v in schema.items() if k.startswith("x-") and isinstance(v, str)}
-    return "json" if told & {"any", "record"} else None
+# -- validators as JSON schema
 
 
-def expanded(validator: Any) -> Any:
-    """A validator description as plain JSON schema, nested ones included."""
-    if not isinstance(validator, dict):
-        return validator
-    kind, value = validator.get("type"), validator.get("value")
-    if kind == "union" and isinstance(value, list):
-        return {"anyOf": [expanded(v) for v in value]}
-    if kind == "array":
-        items = validator.get("items", value)
-        return {"type": "array"} | ({"items": expanded(items)} if items is not None else {})
-    if kind == "object":
-        return _expanded_object(validator)
-    simple = {
-        "id": {"type": "string", "x-note": "id"},
-        "bytes": {"type": "string", "x-note": "bytes"},
-        "bigint": {"type": "integer", "x-note": "int64"},
-        "any": {"x-note": "any"},
-        "record": {"type": "object", "x-note": "record"},
-    }
-    if isinstance(kind, str) and kind in simple:
-        return simple[kind]
-    if kind == "literal":
-        return {"const": value}
-    if kind in ("number", "boolean", "string", "null"):
-        return {"type": kind} | {k: v for k, v in validator.items() if k.startswith("x-")}
-    return validator
-
-
-def _expanded_object(validator: JsonSchema) -> JsonSchema:
-    fields, required = {}, []
+def _fields(validator: JsonSchema) -> JsonSchema | None:
+    """An object by its ``properties``, or by a ``value`` of field descriptions, which are required unless they say otherwise."""
     if isinstance(given := validator.get("properties"), dict):
-        fields = {k: expanded(given[k]) for k in sorted(given)}
-        required = list(validator.get("required", []))
-    elif isinstance(value := validator.get("value"), dict):
-        for k in sorted(value):
-            inner = value[k].get("fieldType", value[k]) if isinstance(value[k], dict) else value[k]
-            if isinstance(value[k], dict) and value[k].get("optional"):
-                fields[k] = {"anyOf": [{"type": "null"}, expanded(inner)]}
-            else:
-                fields[k] = expanded(inner)
-                required.append(k)
+        fields, required = {k: expanded(v) for k, v in given.items()}, list(validator.get("required", []))
+    elif isinstance(told := validator.get("value"), dict):
+        plain = {k: v if isinstance(v, dict) else {"fieldType": v} for k, v in told.items()}
+        optional = {k for k, v in plain.items() if v.get("optional")}
+        fields = {k: expanded(v.get("fieldType", v)) for k, v in plain.items()}
+        fields |= {k: {"anyOf": [{"type": "null"}, fields[k]]} for k in optional}
+        required = sorted(set(plain) - optional)
     else:
-        return validator
-    return {"type": "object", "properties": fields} | ({"required": required} if required else {})
+        return None
+    return {"type": "object", "properties": dict(sorted(fields.items()))} | ({"required": required} if required else {})
 
 
-def _alternatives(schema: JsonSchema) -> list[JsonSchema] | None:
-    """The members of a union, those of unions inside it included; None if it is no union."""
-    members = schema.get("anyOf") or schema.get("oneOf")
-    if not isinstance(members, list):
-        return None
-    return [m for x in members if isinstance(x, dict) for m in (_alternatives(x) or [x])]
+def _items(validator: JsonSchema) -> JsonSchema:
+    items = validator.get("items", validator.get("value"))
+    return {"type": "array"} if items is None else {"type": "array", "items": expanded(items)}
 
 
-def _without_null(schema: JsonSchema) -> tuple[list[JsonSchema], bool]:
-    """What remains of a schema when null is taken out, and whether null was there."""
-    kinds = schema.get("type")
-    if isinstance(kinds, list):
-        rest = [k for k in kinds if k != "null"]
-        if "null" in kinds and len(rest) == 1:
-            return [{**schema, "type": rest[0]}], True
-    members = _alternatives(schema)
-    if members is None:
-        return [schema], False
-    rest = [m for m in members if m.get("type") != "null"]
-    return rest, len(rest) < len(members)
+def _same(validator: JsonSchema) -> JsonSchema:
+    return {k: v for k, v in validator.items() if k == "type" or k.startswith("x-")}
+
+
+def _always(**schema: Any) -> Callable[[JsonSchema], JsonSchema]:
+    note = schema.pop("note")
+    return lambda _: {**schema, "x-note": note}
+
+
+#: How each type of validator reads as JSON schema; None leaves it as it is.
+_FORMS: dict[str, Callable[[JsonSchema], JsonSchema | None]] = {
+    "union": lambda v: {"anyOf": [expanded(x) for x in v["value"]]} if isinstance(v.get("value"), list) else None,
+    "array": _items,
+    "object": _fields,
+    "literal": lambda v: {"const": v.get("value")},
+    "id": _always(type="string", note="id"),
+    "bytes": _always(type="string", note="bytes"),
+    "bigint": _always(type="integer", note="int64"),
+    "any": _always(note="any"),
+    "record": _always(type="object", note="record"),
+    **dict.fromkeys(("number", "boolean", "string", "null"), _same),
+}
+
+
+def expanded(validator: Any) -> Any:
+    """A validator description as plain JSON schema, nested ones included."""
+    kind = validator.get("type") if isinstance(validator, dict) else None
+    found = _FORMS[kind](validator) if isinstance(kind, str) and kind in _FORMS else None
+    return validator if found is None else found
+
+
+# -- kinds
+
+#: A kind with its elements' kind; null stands among the alternatives of a schema like any other.
+_Found = tuple[str, str | None]
+_NULL: _Found = ("null", None)
+#: Each kind holds the values of those before it; what holds arrays beside others is JSON.
+_ORDER = ("bool", "int64", "float64", "string", "array", "json")
+_SCALARS = {"string": "string", "boolean": "bool", "integer": "int64", "number": "float64", "object": "json", "null": "null"}
+_CONSTANTS: dict[type, str] = {bool: "bool", int: "int64", float: "float64"}
+
+
+def _found(schema: JsonSchema, inside: bool) -> list[_Found]:
+    """The kind of each alternative of a schema; ``inside`` a union, null counts as an alternative of its own only."""
+    members = schema.get("anyOf") or schema.get("oneOf")
+    if isinstance(members, list):
+        return [x for m in members if isinstance(m, dict) for x in _found(m, True)]
+    kind = schema.get("type")
+    if isinstance(kind, list):
+        others = [k for k in kind if k != "null"]
+        if len(others) != 1 or len(others) == len(kind):
+            return [("string", None)]
+        return _found({**schema, "type": others[0]}, True) + ([] if inside else [_NULL])
+    if {"any", "record"}.intersection(v for k, v in schema.items() if k.startswith("x-") and isinstance(v, str)):
+        return [("json", None)]
+    if "const" in schema:
+        return [(_CONSTANTS.get(type(schema["const"]), "string"), None)]
+    if kind == "array":
+        items = schema.get("items")
+        inner, null, _ = infer_kind(items) if isinstance(items, dict) and items else ("json", False, None)
+        return [("json", None) if null or inner in ("json", "array") else ("array", inner)]
+    return [("json" if kind is None else _SCALARS.get(kind, "string") if isinstance(kind, str) else "string", None)]
 
 
 def infer_kind(schema: JsonSchema) -> tuple[str, bool, str | None]:
-    """Kind, whether null is allowed, and the elements' kind of an array."""
-    rest, nullable = _without_null(schema)
+    """Kind, whether null is allowed, and the elements' kind of an array; of several alternatives the least kind that holds all."""
+    found = _found(schema, False)
+    rest = [x for x in found if x != _NULL]
     if not rest:
         return "string", True, None
-    if len(rest) > 1:
-        return _mixed_kind({infer_kind(m)[0] for m in rest}), nullable, None
-    one = rest[0]
-    if _note(one) == "json":
-        return "json", nullable, None
-    if "const" in one:
-        c = one["const"]
-        return "bool" if isinstance(c, bool) else "int64" if isinstance(c, int) else "float64" if isinstance(c, float) else "string", nullable, None
-    kind = one.get("type")
-    if kind is None or kind == "object":
-        return "json", nullable, None
-    if kind == "null":
-        return "string", True, None
-    if kind == "array":
-        items = one.get("items")
-        if not isinstance(items, dict) or not items:
-            return "json", nullable, None
-        inner, inner_null, _ = infer_kind(items)
-        return ("json", nullable, None) if inner_null or inner in ("json", "array") else ("array", nullable, inner)
-    scalar = {"string": "string", "boolean": "bool", "integer": "int64", "number": "float64"}
-    return scalar.get(kind, "string") if isinstance(kind, str) else "string", nullable, None
-
-
-def _mixed_kind(kinds: set[str]) -> str:
-    if kinds & {"json", "array"}:
-        return "json"
-    if kinds <= {"bool", "int64", "float64"}:
-        return next(k for k in ("float64", "int64", "bool") if k in kinds)
-    return "string"
+    if len(rest) == 1:
+        return rest[0][0], len(found) > 1, rest[0][1]
+    joined = max((kind for kind, _ in rest), key=_ORDER.index)
+    return "json" if joined == "array" else joined, len(rest) < len(found), None
 
 
 def table_specs(schema: JsonSchema) -> list[ColumnSpec]:

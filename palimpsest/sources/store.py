@@ -171,6 +171,14 @@ class VersionedStore:
         m = self.manifest(table)
         return self._rows(m, [e for e in m.entries if e["bucket"] in buckets])
 
+    def read_labelled(self, table: str, column: str, labels: Sequence[str]) -> DataFrame:
+        """Rows of the entries that can hold a label in an array column: those whose table of labels says so, and those that have none."""
+        m = self.manifest(table)
+        told = {e["labels"][column] for e in m.entries if column in e.get("labels", {})}
+        # At most as many numbers as there are buckets come to the driver.
+        hit = {p: {r[0] for r in self.spark.read.parquet(p).where(F.col("label").isin(list(labels))).select(BUCKET).distinct().collect()} for p in told}
+        return self._rows(m, [e for e in m.entries if column not in e.get("labels", {}) or e["bucket"] in hit[e["labels"][column]]])
+
     def upsert(self, table: str, rows: DataFrame, key: str = ID_TS, buckets: set[int] | None = None) -> Manifest:
         """Rows of ``rows`` replace those with an equal ``key`` and join the others; every column is replaced.
 
@@ -249,14 +257,22 @@ class VersionedStore:
         wanted = list(sort_by) or base.layout.get("sort_by", [])
         runs = Counter(e["bucket"] for e in base.entries)
         # Each entry tells the order of its rows: what was merged or appended since is not in order.
-        several = {e["bucket"] for e in base.entries if runs[e["bucket"]] > 1 or wanted and e.get("sorted_by", []) != wanted}
+        several = {e["bucket"] for e in base.entries if runs[e["bucket"]] > 1 or wanted and e.get("sorted_by", []) != wanted or set(base.layout.get("labels", [])) - set(e.get("labels", {}))}
         if not several:
             return None
         rows = self._rows(base, [e for e in base.entries if e["bucket"] in several])
         path = f"{self._dir(table)}/data/{uuid.uuid4().hex}"
         dealt = rows.withColumn(BUCKET, self._bucket(base.schema, base.buckets)).hint("rebalance", BUCKET)
-        dealt.sortWithinPartitions(BUCKET, *[quoted(c) for c in wanted]).write.partitionBy(BUCKET).parquet(path)
+        writer = dealt.sortWithinPartitions(BUCKET, *[quoted(c) for c in wanted]).write.partitionBy(BUCKET)
+        for c in base.layout.get("bloom", []):
+            writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
+        writer.parquet(path)
         entries = [{**e, "sorted_by": wanted} for e in self._entries(path)]
+        for c in base.layout.get("labels", []):
+            # Beside the data: which buckets hold a label. It goes with the data's folder.
+            labels = self.spark.read.parquet(path).select(BUCKET, F.explode(quoted(c)).alias("label")).distinct()
+            labels.repartitionByRange("label").sortWithinPartitions("label").write.parquet(f"{path}/_labels/{c}")
+            entries = [{**e, "labels": {**e.get("labels", {}), c: f"{path}/_labels/{c}"}} for e in entries]
         rest = [e for e in base.entries if e["bucket"] not in several]
         return self._commit(table, base, entries=(*rest, *entries), operation="compact")
 

@@ -59,24 +59,25 @@ def is_idle(stats: dict[str, Any], plan: Plan) -> bool:
 
 
 def next_due(state: dict[str, Any], tables: list[str], plan: Plan, now: float) -> tuple[Action, str, dict[str, Any]] | None:
-    """The next action and table by turns, and the state with both turns moved on; None if nothing is due."""
+    """Of all pairs of action and table that are due the one whose turn is next, and the state with both turns moved on; None if nothing is due.
+
+    Actions take turns, and for each action the tables do. A pair is due once its action's cadence has passed since it was last done.
+    """
     actions = plan.actions()
     hour = datetime.datetime.fromtimestamp(now, datetime.UTC).hour
-    first = state.get("next_action_index", 0) % len(actions)
-    for k in range(len(actions)):
-        i = (first + k) % len(actions)
-        a = actions[i]
-        if a.cadence <= 0 or a.heavy and not in_window(hour, *plan.window) or not tables:
-            continue
-        turn = state.get("next_table_index_by_action", {}).get(a.name, 0) % len(tables)
-        last = state.get("last_run_by_action", {}).get(a.name, {})
-        for j in range(len(tables)):
-            t = tables[(turn + j) % len(tables)]
-            if now - last.get(t, 0) >= a.cadence:
-                moved = {**state, "next_action_index": (i + 1) % len(actions)}
-                moved["next_table_index_by_action"] = {**state.get("next_table_index_by_action", {}), a.name: (turn + j + 1) % len(tables)}
-                return a, t, moved
-    return None
+    may = [a.cadence > 0 and (not a.heavy or in_window(hour, *plan.window)) for a in actions]
+    turns, done = state.get("turns", {}), state.get("done", {})
+
+    def wait(item: tuple[int, int]) -> tuple[int, int]:
+        """How many actions, and then tables, go before."""
+        i, j = item
+        return (i - state.get("turn", 0)) % len(actions), (j - turns.get(actions[i].name, 0)) % len(tables)
+
+    due = [(i, j) for i, a in enumerate(actions) if may[i] for j, t in enumerate(tables) if now - done.get(a.name, {}).get(t, 0) >= a.cadence]
+    if not due:
+        return None
+    i, j = min(due, key=wait)
+    return actions[i], tables[j], {**state, "turn": i + 1, "turns": {**turns, actions[i].name: j + 1}}
 
 
 def run_action(store: VersionedStore, action: str, table: str, plan: Plan) -> Any:
@@ -99,8 +100,8 @@ def idle_pass(store: VersionedStore, state: StateStore, plan: Plan, stats: dict[
     record: dict[str, Any] = {"ts": began, "action": action.name, "table": table, "target": f"{store.root}/{table}"}
     try:
         record |= {"status": "ok", "result": run(store, action.name, table, plan)}
-        last = moved.get("last_run_by_action", {})
-        moved["last_run_by_action"] = {**last, action.name: {**last.get(action.name, {}), table: clock()}}
+        done = moved.get("done", {})
+        moved["done"] = {**done, action.name: {**done.get(action.name, {}), table: clock()}}
     except Exception as e:  # maintenance must not stop the loop
         record |= {"status": "failed", "error": str(e)[:500]}
         moved["failures"] = [*moved.get("failures", []), record][-20:]

@@ -212,12 +212,12 @@ def test_window_and_turns():
     assert in_window(8, 7, 12) and not in_window(12, 7, 12) and in_window(23, 22, 3) and in_window(2, 22, 3) and in_window(5, 4, 4)
     noon = datetime.datetime(2024, 1, 8, 13, tzinfo=datetime.UTC).timestamp()
     action, table, moved = next_due({}, ["a", "b"], Plan(), noon)
-    assert (action.name, table, moved["next_action_index"], moved["next_table_index_by_action"]) == ("optimize_indices", "a", 1, {"optimize_indices": 1})
+    assert (action.name, table, moved["turn"], moved["turns"]) == ("optimize_indices", "a", 1, {"optimize_indices": 1})
     # Heavy actions wait for their window, so the turn goes back to the light one and its next table.
     assert next_due(moved, ["a", "b"], Plan(), noon)[:2] == (action, "b")
     morning = noon - 4 * 3600
     assert next_due(moved, ["a", "b"], Plan(), morning)[0].name == "compact_files"
-    done = {"last_run_by_action": {"optimize_indices": {"a": noon, "b": noon}}}
+    done = {"done": {"optimize_indices": {"a": noon, "b": noon}}}
     assert next_due(done, ["a", "b"], Plan(), noon + 10) is None
 
 
@@ -232,7 +232,7 @@ def test_idle_pass(spark, store, state):
     assert idle_pass(store, state, Plan(), stats, clock=lambda: 1e9, run=fails)
     assert idle_pass(store, state, Plan(), stats, clock=lambda: 1e9)
     have = state.get(KEY)[0]
-    assert len(have["failures"]) == 1 and have["last_run_by_action"]["optimize_indices"] == {"t": 1e9}
+    assert len(have["failures"]) == 1 and have["done"]["optimize_indices"] == {"t": 1e9}
     t = TouchedTables(pages=2, clock=lambda: 0)
     t.add({"t"}, {"pages": 2, "rows_accepted": 0})
     assert t.due() and t.optimize(store) == ["t"] and not t.due()

@@ -259,3 +259,22 @@ def test_lease_expires_and_is_renewed(state):
     now[0] = 0.6
     with pytest.raises(LeaseHeld, match="expired"):
         a.verify()
+
+
+def test_labels_and_keys_read_only_their_buckets(spark, store):
+    rows = with_generated(spark.range(200).select(F.col("id").cast("string").alias("_id"), F.lit(1).cast("long").alias("_ts"), F.lit(False).alias("_deleted"), F.when(F.col("id") % 50 == 0, F.array(F.concat(F.lit("l"), F.col("id").cast("string")), F.lit(None))).when(F.col("id") % 7 > 0, F.array(F.lit("all"))).alias("tags")), F.lit(True))
+    store.overwrite("T", rows)
+    jobs.create_indexes(store, "T", [*jobs.DEFAULT_INDEXES, ("tags", "LABEL_LIST")])
+    found = lambda *labels: sorted(int(r["_id"]) for r in jobs.lookup_labels(store, "T", "tags", labels).collect())
+    assert found("l50", "l100") == [50, 100]
+    assert store.compact("T") is not None and store.compact("T") is None
+    assert found("l50", "l100") == [50, 100] and found("nothing") == [] and len(found("all")) == rows.where("array_contains(tags, 'all')").count()
+    assert len(store.read_labelled("T", "tags", ["l50"]).inputFiles()) < len(store.read("T").inputFiles())
+    # What was merged since has no table of labels and is read.
+    store.upsert("T", rows.where("_id = '3'").withColumn("tags", F.array(F.lit("new"))))
+    assert found("new") == [3] and found("l50") == [50]
+    assert store.compact("T") is not None and found("new") == [3] and store.compact("T") is None
+    got = jobs.lookup_keys(store, "T", ["9#1", "150#1", "9#2", "none#1"])
+    assert sorted(r["_id"] for r in got.collect()) == ["150", "9"] and len(got.inputFiles()) < len(store.read("T").inputFiles())
+    assert sorted(r["_id"] for r in store.read("T").where("__id_ts = '9#1'").collect()) == ["9"]
+    assert store.vacuum("T", keep=1, older_than=0, now=store.manifest("T").created_at + 10) and found("l50") == [50]
