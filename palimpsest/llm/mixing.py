@@ -147,3 +147,22 @@ def training_order(docs: DataFrame, weights: Sequence[float] = WEIGHTS, passes:
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_documents(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def mix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What of the mix SQL can tell: sizes and targets; what is taken hangs on hashes."""
+    return op3_mixing(spark, sf_dir).select("doc_id", "size", "source_size", F.round("target", 3).alias("target"))
+
+
+#: Sources fill up in order of the level at which they do; the first that does not sets the level of the rest.
+MIX_SQL = r"""
+WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS n FROM d GROUP BY source),
+w AS (SELECT source, n, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5.0 WHEN 1 THEN 2.0 ELSE 1.0 END AS w FROM s),
+f AS (SELECT *, 3.0 * n / w AS full_at FROM w),
+r AS (SELECT a.full_at, (SELECT sum(n) FROM s) - coalesce(sum(3.0 * b.n) FILTER (b.full_at < a.full_at), 0) AS words, sum(b.w) FILTER (b.full_at >= a.full_at) AS weights
+  FROM (SELECT DISTINCT full_at FROM f) AS a, f AS b GROUP BY a.full_at),
+l AS (SELECT arg_min(words / weights, full_at) FILTER (full_at > words / weights) AS level FROM r)
+SELECT doc_id, size, f.n AS source_size, round(CAST(CASE WHEN level IS NULL THEN 3.0 * f.n ELSE least(3.0 * f.n, f.w * level) END AS DOUBLE), 3) AS target
+FROM d JOIN f ON d.source IS NOT DISTINCT FROM f.source, l
+"""

@@ -19,10 +19,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_host_rules": host_rules.op8_host_rules,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_url_filter": url_filter.op10_url_filter,
+    # What SQL can tell of two of them.
+    "mix_targets": mixing.mix_targets,
+    "url_rules": url_filter.url_rules,
 }
 
 SQL: dict[str, str] = {
     "op1_chat_format": chat_format.OP1_SQL,
     "op5_warc_zip": warc_zip.OP5_SQL,
     "op8_host_rules": host_rules.OP8_SQL,
+    "mix_targets": mixing.MIX_SQL,
+    "url_rules": url_filter.URL_SQL,
 }

@@ -156,3 +156,20 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, label
 
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict", "block_score")
+
+
+def url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What of the filter SQL can tell: host, path and rule of all pages, and the verdict where a rule fits."""
+    verdict = F.when(F.col("rule").isNotNull(), F.col("verdict"))
+    return op10_url_filter(spark, sf_dir).select("page_id", "host", "path", "rule", verdict.alias("verdict"))
+
+
+URL_SQL = r"""
+WITH u AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+p AS (SELECT page_id, translate(regexp_extract(coalesce(rest, ''), '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+  regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+k AS (SELECT * FROM (VALUES ('org/', 'allow'), ('example.org/es/', 'block'), ('example.org/en/1', 'block'), ('com/fr/', 'allow'), ('com/de/', 'block')) AS v(rule, verdict)),
+f AS (SELECT page_id, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict FROM p, k
+  WHERE (host = split_part(rule, '/', 1) OR ends_with(host, '.' || split_part(rule, '/', 1))) AND starts_with(path, substr(rule, strpos(rule, '/'))) GROUP BY page_id)
+SELECT page_id, host, path, rule, verdict FROM p LEFT JOIN f USING (page_id)
+"""
