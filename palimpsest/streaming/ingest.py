@@ -111,6 +111,7 @@ class Ingest:
         before = self.store.count(table)
         done = merge_into(self.store, table, self.typed(rows, specs), "__seq")
         self.touched.add(physical_name(table))
+        self.event("table_merged", {"table": table, "version": done.version, "rows_before": before, "rows_after": done.rows})
         return done.rows - before
 
     def flush(self, raw: DataFrame) -> dict[str, int]:
@@ -131,6 +132,7 @@ class Ingest:
                     self.merge_table(table, part(table), schemas)
                 except Exception as e:  # the others go on
                     errors[table] = e
+                    self.event("table_merge_failed", {"table": table, "error": str(e)[:500]})
 
             with ThreadPoolExecutor(max(1, self.settings.table_concurrency)) as pool:
                 list(pool.map(one, sorted(counts)))
@@ -180,6 +182,7 @@ def sync_once(ingest: Ingest, log: ChangeLog, force: bool = False) -> dict[str,
     stats = {"pages": 0, "rows_seen": 0, "rows_accepted": 0, "rows_merged": 0, "chunks": 0, "has_more": True}
     try:
         last, tag = start, _ = cursor.read()[0], None
+        ingest.event("sync_started", {"cursor": start, "owner": lease.owner})
         schemas, fresh = ingest.schemas.get()
         if fresh and s.reconcile:
             _, failed = reconcile_existing(ingest.store, schemas)
@@ -206,8 +209,11 @@ def sync_once(ingest: Ingest, log: ChangeLog, force: bool = False) -> dict[str,
             stats["rows_merged"] += sum(merged.values())
         stats["has_more"] = more
         state.delete("incremental/last_error")
-        return stats | {"start_cursor": start, "end_cursor": cursor.read()[0]}
+        stats |= {"start_cursor": start, "end_cursor": cursor.read()[0]}
+        ingest.event("sync_finished", stats)
+        return stats
     except Exception as e:
+        ingest.event("sync_failed", {"start_cursor": start, "last_cursor": last, "error": str(e)[:500]})
         state.put("incremental/last_error", {"owner": lease.owner, "error": str(e)[:2000], "start_cursor": start, "last_cursor": last, "updated_at": time.time()})
         raise
     finally:
