@@ -23,7 +23,8 @@ def components(links: DataFrame) -> DataFrame:
 
     Large and small stars alternate until the set of links stands still. Each round aggregates
     a minimum per node and joins it back, so a node with many links is never gathered in one
-    row, and is written to the shared folder, from which the round before then goes. Loops and repeated links may be there; an empty table gives no rows.
+    row, and is written to the shared folder, from which the round before then goes. The pairs of a node meet in one task of a join up to the 256 MB
+    from which on Spark splits them, some ten million pairs of numbers. Loops and repeated links may be there; an empty table gives no rows.
     """
     spark = links.sparkSession
     path = new_dir(spark, "links")
