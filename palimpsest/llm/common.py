@@ -7,6 +7,7 @@ import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +23,7 @@ HOT = 1000
 
 _own: dict[str, str] = {}
 _kept: set[str] = set()
+_made: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -52,7 +54,18 @@ def new_dir(spark: SparkSession, name: str) -> str:
         fs.mkdirs(at)
         fs.deleteOnExit(at)
         _kept.add(base)
-    return f"{base}/{name}-{uuid.uuid4().hex}"
+    _made.append(f"{base}/{name}-{uuid.uuid4().hex}")
+    return _made[-1]
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[list[str]]:
+    """The folders that the block asks for go at its end, but for those that it puts into the list."""
+    start, keep = len(_made), []
+    try:
+        yield keep
+    finally:
+        delete_dir(spark, *[p for p in _made[start:] if p not in keep])
 
 
 def stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:

@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from palimpsest.llm.common import delete_dir, first_by_hash, spans, stored, words_of
+from palimpsest.llm.common import delete_dir, first_by_hash, scratch, spans, stored, words_of
 
 
 def test_first_by_hash_is_the_smallest_however_rows_repeat(spark):
@@ -39,3 +39,13 @@ def test_folders_go(spark):
     assert df.count() == 3
     delete_dir(spark, path)
     assert not spark.sparkContext._jvm.java.io.File(path.removeprefix("file://")).exists()
+
+
+def test_scratch_folders_go_with_their_block(spark):
+    there = lambda path: spark.sparkContext._jvm.java.io.File(path.removeprefix("file://")).exists()
+    with scratch(spark) as keep:
+        gone, kept = (stored(spark.range(3), n) for n in ("one", "two"))
+        keep.append(kept[1])
+        assert there(gone[1])
+    assert not there(gone[1]) and there(kept[1]) and kept[0].count() == 3
+    delete_dir(spark, kept[1])
