@@ -40,10 +40,9 @@ def unescape(text: Column) -> Column:
 
 
 def format_conversations(turns: DataFrame, loss_role: str = "assistant", slice_turns: int = SLICE) -> DataFrame:
-    """One row per conversation: ``conv_id, n_blocks, formatted, segments``.
+    """One row per conversation: ``conv_id, n_blocks, formatted, mask``.
 
-    ``formatted`` is the concatenation of ``segments`` (array of ``text, loss``); the loss mask
-    covers the segments with ``loss`` true, the bare texts of ``loss_role``.
+    ``mask``: an array of ``start, length``, in bytes of ``formatted`` as UTF-8: the bare texts of ``loss_role``, one span for each turn.
     """
     rows = own_columns(turns, "conv_id", "turn", "role", "text").select(
         "conv_id",
@@ -98,7 +97,28 @@ def format_conversations(turns: DataFrame, loss_role: str = "assistant", slice_t
     segments = F.concat(bare("<s>"), F.flatten(F.transform("blocks", rendered)), bare("</s>"))
     heads = F.size(F.filter("blocks", lambda b, i: ~F.coalesce(role_at(i - 1) == b["role"], F.lit(False))))
     out = whole.select("conv_id", heads.cast("long").alias("n_blocks"), segments.alias("segments"))
-    return out.select("conv_id", "n_blocks", F.concat_ws("", F.col("segments.text")).alias("formatted"), "segments")
+    return out.select("conv_id", "n_blocks", F.concat_ws("", F.col("segments.text")).alias("formatted"), _mask(F.col("segments"), slice_turns).alias("mask"))
+
+
+def _mask(segments: Column, piece: int) -> Column:
+    """Spans of the segments with ``loss``; sums run over pieces and then over the pieces' own sums, so that no array grows step by step beyond them."""
+    sizes = F.transform(segments, lambda s: F.struct(F.octet_length(s["text"]).cast("long").alias("length"), s["loss"].alias("loss")))
+    none = F.array().cast("array<struct<start:bigint,length:bigint>>")
+    nothing = F.struct(F.lit(0).cast("long").alias("total"), none.alias("spans"))
+
+    def add(acc: Column, s: Column) -> Column:
+        span = F.array(F.struct(acc["total"].alias("start"), s["length"].alias("length")))
+        return F.struct((acc["total"] + s["length"]).alias("total"), F.when(s["loss"], F.concat(acc["spans"], span)).otherwise(acc["spans"]).alias("spans"))
+
+    def join(acc: Column, p: Column) -> Column:
+        moved = F.transform(p["spans"], lambda s: F.struct((s["start"] + acc["total"]).alias("start"), s["length"].alias("length")))
+        return F.struct((acc["total"] + p["total"]).alias("total"), F.concat(acc["parts"], F.array(moved)).alias("parts"))
+
+    # A one-element array binds what is computed once to a name.
+    cut = lambda all_: F.transform(F.sequence(F.lit(1), F.size(all_), F.lit(piece)), lambda at: F.aggregate(F.slice(all_, at, F.lit(piece)), nothing, add))
+    pieces = F.get(F.transform(F.array(sizes), cut), F.lit(0))
+    start = F.struct(F.lit(0).cast("long").alias("total"), F.array().cast("array<array<struct<start:bigint,length:bigint>>>").alias("parts"))
+    return F.flatten(F.aggregate(pieces, start, join)["parts"])
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
@@ -112,8 +132,9 @@ def read_back(formatted: DataFrame) -> DataFrame:
             lambda b: F.transform(F.split(b[1], r"\[PART\]"), lambda p: F.struct(unescape(b[0]).alias("role"), unescape(p).alias("text"))),
         )
     )
-    under = F.filter("segments", lambda s: s["loss"])
-    loss = F.concat_ws("", F.transform(under, lambda s: unescape(s["text"])))
+    # Bytes are cut without a walk from the text's beginning; the array binds them to a name.
+    text = lambda raw, s: unescape(F.decode(F.substring(raw, s["start"].cast("int") + 1, s["length"].cast("int")), "UTF-8"))
+    loss = F.get(F.transform(F.array(F.encode("formatted", "UTF-8")), lambda raw: F.concat_ws("", F.transform("mask", lambda s: text(raw, s)))), F.lit(0))
     return formatted.select("*", turns.alias("turns"), loss.alias("loss_text"))
 
 

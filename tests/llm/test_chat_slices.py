@@ -32,3 +32,17 @@ def test_many_turns_without_a_number_take_no_square_of_time(spark):
 
     seconds(100, F.lit(None))
     assert seconds(16_000, F.lit(None)) < 3 + 4 * seconds(16_000, F.col("id"))
+
+
+@pytest.mark.parametrize("size", [2, 3, 256])
+def test_mask_is_spans_over_the_output(spark, size):
+    rows = [(c, i, role, text) for c, turns in {1: [("user", "é😀"), ("assistant", "né[/REPLY]"), ("assistant", ""), ("user", "x"), ("assistant", "😀 </s> tail")], 2: [("user", "alone")], 3: [("assistant", f"t{i}") for i in range(40)]}.items() for i, (role, text) in enumerate(turns)]
+    turns = spark.createDataFrame(rows, "conv_id int, turn long, role string, text string")
+    got = chat_format.read_back(chat_format.format_conversations(turns, slice_turns=size)).collect()
+    for r in got:
+        raw = r["formatted"].encode()
+        own = [text for c, _, role, text in rows if c == r["conv_id"] and role == "assistant"]
+        assert len(r["mask"]) == len(own) and r["loss_text"] == "".join(own)
+        escaped = [raw[s["start"] : s["start"] + s["length"]].decode() for s in r["mask"]]
+        assert [e.replace("<\\", "<").replace("[\\", "[") for e in escaped] == own
+        assert all(a["start"] + a["length"] <= b["start"] for a, b in zip(r["mask"], r["mask"][1:], strict=False))

@@ -50,7 +50,10 @@ def test_chat_round_trip_and_merging(spark):
     want = [(r[2], r[3]) for r in rows if r[0] == 1]
     assert [tuple(t) for t in got[1]["turns"]] == want
     assert got[1]["loss_text"] == "".join(t for r, t in want if r == "assistant")
-    assert "".join(s["text"] for s in got[1]["segments"]) == got[1]["formatted"]
+    # The mask has a span for each turn, in bytes of the output.
+    raw = got[1]["formatted"].encode()
+    under = [raw[s["start"] : s["start"] + s["length"]].decode() for s in got[1]["mask"]]
+    assert len(under) == sum(r == "assistant" for r, _ in want)
     runs = 1 + sum(a[0] != b[0] for a, b in zip(want, want[1:], strict=False))
     assert got[1]["n_blocks"] == runs == got[1]["formatted"].count("[/INST]") + got[1]["formatted"].count("[/REPLY]")
     assert [tuple(t) for t in got[2]["turns"]] == [("", ""), ("", "")] and got[None]["loss_text"] == "a"
