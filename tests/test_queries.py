@@ -1,3 +1,5 @@
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from oracle import assert_same
 
@@ -31,3 +33,12 @@ def test_pushed_filters(spark):
 
     plan = key_lookup(table(spark, SF, "customer").select("c_custkey", "c_name"), ["a", "b"], "c_name")._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [In(c_name" in plan and "c_acctbal" not in plan
+
+
+def test_a_log_above_the_page_limit_is_merged_whole(spark, tmp_path):
+    """4,130 rows in pages of 40: more than one run takes."""
+    for t in ("nation", "region"):
+        (tmp_path / f"{t}.parquet").symlink_to(f"{SF}/{t}.parquet")
+    pq.write_table(pa.table({"s_suppkey": range(4100), "s_name": [f"Supplier {i}" for i in range(4100)]}), tmp_path / "supplier.parquet")
+    name = "q50_tables_merged_in_parallel"
+    assert_same(QUERIES[name](spark, str(tmp_path)), SQL[name], str(tmp_path))
