@@ -9,7 +9,8 @@ a search follows only the edges within ``RADIUS`` bits, which two classes at 0.8
 against the whole sets of shingles. Links span what is linked in a shard, but no clique is written out; one row of each component stays.
 
 A shard of over ``SHARD`` members or ``HELD`` shingles is dealt to parts of about that size, by a hash that differs from shard to shard, and about ``PIVOTS`` of its members go to all
-parts: what is near to a common pivot is joined through it, and others can meet in the parts of another shard.
+parts: what is near to a common pivot is joined through it. Then the members of a split shard that are not in its largest component so far are held against all of its other parts, so any two members of a
+shard have either met or are joined already, and no link within a shard is lost.
 
 Defined results: null and empty texts are one class; rows without a doc_id join their class and stay only if no row of the component has
 an id; of rows that repeat the smallest id in a component, the first by text and then by a hash of the row stays; unrelated rows of one id both
@@ -19,6 +20,7 @@ stay; an empty table gives no rows; all columns are kept.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain, groupby
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +39,7 @@ RADIUS = 21
 SHARD, HELD, PIVOTS = 8192, 8_000_000, 128
 #: Shingles whose minima are taken together, bytes of texts looked at together, and shingles of found members compared together.
 PIECE, BLOCK, FOUND = 1 << 10, 4_000_000, 1 << 21
+_ALL = (1 << 64) - 1
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _SEEDS, _ODD = np.random.default_rng(5).integers(0, 1 << 64, (2, ROWS * BANDS), np.uint64)
 _ODD |= np.uint64(1)
@@ -136,6 +139,36 @@ def linked(sets: list[np.ndarray], prints: np.ndarray, least: float = LEAST, rad
     return out
 
 
+def crossing(sets: list[np.ndarray], prints: np.ndarray, roots: np.ndarray, asked: Iterator[tuple[int, int, np.ndarray]], least: float = LEAST, radius: int = RADIUS) -> list[tuple[int, int]]:
+    """Pairs of roots that join the components of ``asked`` (fingerprint, root, set) to those of ``sets`` (``prints``, ``roots``) that have a link to them.
+
+    Components that a pair has joined are one from there on: the pairs span what is linked, and members of one component are not compared.
+    """
+    size = np.array([len(s) for s in sets])
+    keys, node = np.unique(prints, return_inverse=True)
+    tree = BKForest(np.zeros(len(keys), np.int64), keys)
+    order = np.argsort(node, kind="stable")
+    first = np.r_[0, np.cumsum(np.bincount(node, minlength=len(keys)))]
+    roots, now, out = roots.copy(), {}, []
+    for fp, root, own in asked:
+        start = root
+        while root in now:
+            root = now[root]
+        if root != start:
+            now[start] = root
+        near = np.concatenate([order[first[x] : first[x + 1]] for x in tree.within(np.uint64(fp), radius).tolist()] or [np.zeros(0, np.int64)])
+        near = near[roots[near] != root]
+        near = near[np.minimum(size[near], len(own)) >= least * np.maximum(size[near], len(own)) - 1e-9]
+        if not len(near):
+            continue
+        both = _shared(own, [sets[q] for q in near.tolist()])
+        for other in np.unique(roots[near[both >= least * (size[near] + len(own) - both) - 1e-9]]).tolist():
+            out.append((root, other))
+            now[other] = root
+            roots[roots == other] = root
+    return out
+
+
 def _shard_links(members: DataFrame, least: float) -> DataFrame:
     """``u, v`` links from rows ``shard, part, key, fp, found``; a part of a shard is searched in one task."""
 
@@ -162,6 +195,34 @@ def _shard_links(members: DataFrame, least: float) -> DataFrame:
     return members.repartition("shard", "part").sortWithinPartitions("shard", "part", "key").mapInArrow(run, "u long, v long")
 
 
+def _cross_links(members: DataFrame, least: float) -> DataFrame:
+    """``u, v`` links between roots from rows ``shard, part, lot, asks, root, fp, found``: rows that ask are held against those of their part and lot that do not, in one task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows() -> Iterator[tuple]:
+            for b in batches:
+                found = b.column("found")
+                for i, row in enumerate(zip(*(b.column(c).to_pylist() for c in ("shard", "part", "lot", "asks", "root", "fp")), strict=True)):
+                    yield (*row, found[i].values.to_numpy().view(np.uint64))
+
+        for _, group in groupby(rows(), lambda r: r[:3]):
+            prints, roots, sets, asked = [], [], [], iter(())
+            for row in group:
+                if row[3]:  # those that ask stand behind the others and are not kept
+                    asked = chain([row], group)
+                    break
+                roots.append(row[4])
+                prints.append(row[5])
+                # A copy: a view would keep the whole batch.
+                sets.append(row[6].copy())
+            if sets and (pairs := crossing(sets, np.array(prints, np.int64).view(np.uint64), np.array(roots, np.int64), ((r[5] & _ALL, r[4], r[6]) for r in asked), least)):
+                p = np.array(pairs, np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(p[:, 0]), pa.array(p[:, 1])], ["u", "v"])
+
+    at = ("shard", "part", "lot")
+    return members.repartition(*at).sortWithinPartitions(*at, "asks", "key").select(*at, "asks", "root", "fp", "found").mapInArrow(run, "u long, v long")
+
+
 def keyed(docs: DataFrame) -> DataFrame:
     """All columns of ``docs`` under the names c0, c1, ... and ``text``, with ``key``, ``fp``, ``size`` (shingles) and ``shards``."""
     names = ["text" if c == "text" else f"c{i}" for i, c in enumerate(docs.columns)]
@@ -207,17 +268,39 @@ def class_components(rows: DataFrame, least: float = LEAST, shard: int = SHARD)
     hash_ = F.xxhash64("key", "shard")
     pivot = (hash_.cast("double") / 2.0**64 + 0.5) * F.col("n") < PIVOTS
     part = F.when(parts == 1, F.array(F.lit(0))).when(pivot, F.sequence(F.lit(0), parts - 1)).otherwise(F.array(F.pmod(F.xxhash64("shard", "key"), parts).cast("int")))
-    members = kept(dealt.join(once, "shard").select("shard", "key", F.explode(part).alias("part")), "shard-members")
+    # How many parts of its shard a member does not stand in.
+    others = parts - F.size(part)
+    members = kept(dealt.join(once, "shard").select("shard", "key", others.alias("others"), F.explode(part).alias("part")), "shard-members")
     wanted = members.select("key").distinct()
     # Copies are put together before they travel.
     texts = rows.groupBy("key").agg(F.first("fp").alias("fp"), F.first("text").alias("text")).join(wanted, "key", "left_semi")
     sets = kept(_sets(texts), "shingles")
     links = _shard_links(members.join(sets, "key").select("shard", "part", "key", "fp", "found"), least)
     roots = components(links).select(F.col("node").alias("key"), "root")
+    split = members.where("others > 0")
+    if not split.isEmpty():
+        roots = _joined_across(kept(split.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key")), "split-members"), sets, roots, least, shard)
     delete_dir(rows.sparkSession, *folders)
     return roots
 
 
+def _joined_across(split: DataFrame, sets: DataFrame, roots: DataFrame, least: float, shard: int) -> DataFrame:
+    """``roots`` with the links between parts: ``split`` has the members ``shard, key, others, part, root`` that do not stand in all parts of their shard."""
+    groups = split.groupBy("shard", "root").agg(F.count("*").alias("n"))
+    largest = groups.groupBy("shard").agg(F.max_by("root", F.struct("n", "root")).alias("largest"), (F.sum("n") - F.max("n")).alias("apart")).where("apart > 0")
+    # Of two members that are not joined one at least is apart from the largest component. Those go to all parts but their own, dealt to lots so that none is above a shard's size.
+    met = split.join(largest.withColumn("lots", F.ceil(F.col("apart") / shard).cast("int")), "shard")
+    at = ["shard", "key", "root"]
+    held = met.select(*at, "part", F.explode(F.sequence(F.lit(0), F.col("lots") - 1)).alias("lot"), F.lit(False).alias("asks"))
+    lot = F.pmod(F.xxhash64("key", "shard", F.lit(2)), "lots").cast("int")
+    asks = met.where("root <> largest").select(*at, "part", F.explode(F.sequence(F.lit(0), F.col("others"))).alias("to"), lot.alias("lot"), F.lit(True).alias("asks"))
+    asks = asks.where("part <> to").select(*at, F.col("to").alias("part"), "lot", "asks")
+    more = components(_cross_links(held.unionByName(asks).join(sets, "key"), least))
+    # Roots are the smallest keys of their components, so the smallest root is the smallest key.
+    through = roots.join(more.select(F.col("node").alias("root"), F.col("root").alias("last")), "root", "left").select("key", F.coalesce("last", "root").alias("root"))
+    return through.union(more.select(F.col("node").alias("key"), "root").join(roots, "key", "left_anti"))
+
+
 def one_of_each(docs: DataFrame, least: float = LEAST, shard: int = SHARD) -> DataFrame:
     """``docs`` without near copies: one whole row of each component."""
     rows, _ = stored(keyed(docs), "keyed")

@@ -5,6 +5,7 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from test_text_ops import edge_docs
 
 from palimpsest.llm import near_copies
@@ -162,3 +163,67 @@ def test_shards_of_long_texts_are_split_by_what_they_hold(spark, monkeypatch):
         rows.append((i, " ".join(c)))
     docs = spark.createDataFrame([*rows, (100, "a text of its own that none is like")], "doc_id long, text string")
     assert sorted(r["doc_id"] for r in near_copies.one_of_each(docs).collect()) == [0, 100]
+
+
+def in_one_shard(spark, texts):
+    """Rows of texts that meet in one shard only, as ``class_components`` takes them."""
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return near_copies.keyed(docs).withColumn("shards", F.array(F.lit(7).cast("long"))).localCheckpoint()
+
+
+def joined(rows, **how):
+    """Sorted groups of the places of texts that a search joins."""
+    root = {r["key"]: r["root"] for r in near_copies.class_components(rows, **how).collect()}
+    groups = {}
+    for r in rows.select("c0", "key").collect():
+        groups.setdefault(root.get(r["key"], r["key"]), []).append(r["c0"])
+    assert all(k == min(x for x in root if root[x] == k) for k in set(root.values()))
+    return sorted(sorted(g) for g in groups.values() if len(g) > 1)
+
+
+@pytest.mark.parametrize(("shard", "pivots", "held"), [(4, 0, 10**6), (20, 3, 10**6), (1000, 0, 900)])
+def test_links_across_the_parts_of_a_shard_are_found(spark, monkeypatch, shard, pivots, held):
+    """Pairs that have but each other, a group and a chain, dealt to parts of one shard without a pivot in most of them."""
+    monkeypatch.setattr(near_copies, "PIVOTS", pivots)
+    monkeypatch.setattr(near_copies, "HELD", held)
+    rng = random.Random(6)
+    texts = []
+    for g in range(30):
+        w = [f"g{g}w{i}" for i in range(60)]
+        texts += [" ".join(w), " ".join([*w[:-1], "other"])]
+    base = [f"b{i}" for i in range(100)]
+    for i in range(25):
+        c = list(base)
+        c[rng.randrange(100)] = f"own{i}"
+        texts.append(" ".join(c))
+    chain = [f"c{i}" for i in range(160)]
+    texts += [" ".join(chain[6 * i : 6 * i + 80]) for i in range(10)]
+    sets = [slow_shingles(t) for t in texts]
+    found = joined(in_one_shard(spark, texts), shard=shard)
+    near = [(i, j) for i, a in enumerate(sets) for j in range(i) if 5 * len(a & sets[j]) >= 4 * len(a | sets[j])]
+    label = groups_of(near, len(sets))
+    want = sorted([i for i, x in enumerate(label) if x == g] for g in set(label))
+    assert found == [g for g in want if len(g) > 1] and len(found) == 32
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_crossing_against_all_pairs(seed):
+    rng = random.Random(seed)
+    sets = []
+    for _ in range(10):
+        base = [rng.getrandbits(64) for _ in range(rng.choice((1, 7, 60, 200)))]
+        for _ in range(rng.randint(1, 9)):
+            sets.append(np.unique(np.array([x if rng.random() > 0.06 else rng.getrandbits(64) for x in base], np.uint64)))
+    rng.shuffle(sets)
+    prints = np.array([near_copies.fingerprint(s) for s in sets], np.uint64)
+    half = len(sets) // 2
+    roots = np.arange(len(sets), dtype=np.int64)
+    roots[[1, 2, half + 1]] = 0  # a component that is known before
+    asked = ((int(prints[i]), int(roots[i]), sets[i]) for i in range(half, len(sets)))
+    got = near_copies.crossing(sets[:half], prints[:half], roots[:half], asked)
+    plain = [set(s.tolist()) for s in sets]
+    near = [(i, j) for i in range(half, len(sets)) for j in range(half) if 5 * len(plain[i] & plain[j]) >= 4 * len(plain[i] | plain[j])]
+    near = [(i, j) for i, j in near if int(prints[i] ^ prints[j]).bit_count() <= near_copies.RADIUS]
+    known = [(0, 1), (0, 2), (0, half + 1)]
+    assert near and groups_of([*got, *known], len(sets)) == groups_of([*near, *known], len(sets))
+    assert len(got) < len(sets)
